@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from weighbridge.schemas import LOCAL_ZONE
 
 # Every character that counts as white space around a cell.
-WHITE_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0" + "".join(
+ASCII_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+WHITE_SPACE = ASCII_SPACE + "\x85\xa0" + "".join(
     map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
 
@@ -32,8 +33,9 @@ _LOOSE_TIME = r"^(\d{4})-(\d{1,2})-(\d{1,2}| [1-9])\s+(\d{1,2}):(\d{1,2}):(\d{1,
 
 
 def strip_text(c: Column) -> Column:
-    """Cell without surrounding white space of any kind."""
-    return F.trim(c, F.lit(WHITE_SPACE))
+    """Cell without surrounding white space of any kind; the short list does for ASCII."""
+    ascii_only = F.octet_length(c) == F.length(c)
+    return F.when(ascii_only, F.trim(c, F.lit(ASCII_SPACE))).otherwise(F.trim(c, F.lit(WHITE_SPACE)))
 
 
 def is_blank(text: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The required header names, with the column each one feeds.
 REQUIRED_HEADERS = {
     "TransactNo": "transact_raw",
@@ -43,28 +41,26 @@ MEASURE_COLUMNS = [
 # Total order of arrival of a row: batch, then file, then place in the file.
 ARRIVAL_COLUMNS = ["batch_id", "received_at", "path", "part_index", "row_seq"]
 
-ROW_ERROR = T.StructType.fromDDL("field string, code string, detail string, raw_value string")
-
-ARRIVALS = T.StructType.fromDDL(
+ARRIVALS = (
     "path string, part_index int, filename string, source string, message_id string, "
     "from_email string, subject string, received_at timestamp_ntz, content binary"
 )
 
-FILE_ARRIVALS = T.StructType.fromDDL(
+FILE_ARRIVALS = (
     "path string, part_index int, filename string, source string, message_id string, "
     "from_email string, subject string, received_at timestamp_ntz, file_sha256 string, "
     "length bigint, status string, error string, original_id bigint, original_status string, "
     "created_at timestamp_ntz, batch_id bigint"
 )
 
-INGESTION_FILES = T.StructType.fromDDL(
+INGESTION_FILES = (
     "id bigint, source string, message_id string, from_email string, subject string, "
     "received_at timestamp_ntz, filename string, file_sha256 string, status string, "
     "error string, processing_started_at timestamp_ntz, processing_completed_at timestamp_ntz, "
     "correlation_id string, created_at timestamp_ntz, updated_at timestamp_ntz, batch_id bigint"
 )
 
-TRANSACTION_VERSIONS = T.StructType.fromDDL(
+TRANSACTION_VERSIONS = (
     "id bigint, scale_name string, transact_no bigint, cyl_size_kg decimal(10,3), "
     "tare_weight_kg decimal(10,3), fill_kg decimal(10,3), residual_kg decimal(10,3), "
     "success boolean, started_at timestamp_ntz, fill_time_seconds int, "
@@ -73,15 +69,16 @@ TRANSACTION_VERSIONS = T.StructType.fromDDL(
     "committed_at timestamp_ntz, batch_id bigint"
 )
 
-ROW_ERRORS = T.StructType.fromDDL(
+ROW_ERRORS = (
     "file_sha256 string, path string, row_number bigint, field string, code string, "
     "message string, raw_value string, batch_id bigint"
 )
 
-DISPOSITIONS = T.StructType.fromDDL(
+DISPOSITIONS = (
     "message_id string, path string, folder string, reason string, batch_id bigint"
 )
 
+# DDL of each stored table; ``batch_id`` is the partition column.
 TABLES = {
     "file_arrivals": FILE_ARRIVALS,
     "ingestion_files": INGESTION_FILES,
