@@ -1,6 +1,5 @@
 """All registered queries and oracles."""
 
-from registry import tables
+from registry.files import ORACLES, QUERIES
 
-QUERIES = {**tables.QUERIES}
-ORACLES = {**tables.ORACLES}
+__all__ = ["ORACLES", "QUERIES"]
