@@ -62,7 +62,7 @@ def landing_folder(spark, sf: str) -> str:
 
 def _origin(path: str = "path"):
     part = lambda k: F.regexp_extract(path, rf"{k}=(\d+)", 1)
-    return [part("sk").cast("bigint").alias("sk"), part("yr").cast("int").alias("yr")]
+    return [part("sk").cast("bigint").alias("sk"), part("yr").cast("bigint").alias("yr")]
 
 
 _LANDED = """landed as (select *, year(arrived) as yr, cast(row_number() over (partition by sk, year(arrived)
@@ -127,7 +127,7 @@ def _ordered_files(spark, folder: str):
     """The landing files, arriving by year and supplier; named after both."""
     files = landing.landing_files(spark, folder)
     sk, yr = _origin()
-    at = F.make_timestamp_ntz(yr, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0).cast("double"))
+    at = F.make_timestamp_ntz(yr.cast("int"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0).cast("double"))
     return files.withColumn("filename", F.concat(F.lit("s"), sk.cast("string"), F.lit("_"), yr.cast("string"), F.lit(".csv"))).withColumn(
         "received_at", at + F.make_dt_interval(secs=sk.cast("decimal(18,6)"))
     )
@@ -249,10 +249,9 @@ def _(spark, sf):
     return structure.file_inventory(files).select("doc_id", "length", "file_sha256", line.alias("first_line"))
 
 
-@query("required_columns", f"{_STRUCTURE} select doc_id, array_to_string(missing, ',') as missing from checked where doc_id % 10 <> 9")
+@query("required_columns", f"{_STRUCTURE} select doc_id, array_to_string(missing, ',') as missing from checked")
 def _(spark, sf):
-    shaped = contents(spark, sf).filter(F.col("doc_id") % 10 != 9)
-    return structure.file_inventory(shaped).select("doc_id", F.array_join("missing", ",").alias("missing"))
+    return structure.file_inventory(contents(spark, sf)).select("doc_id", F.array_join("missing", ",").alias("missing"))
 
 
 @query("has_header", f"{_STRUCTURE} select doc_id, header <> '' as has_header from checked")
@@ -261,10 +260,9 @@ def _(spark, sf):
     return contents(spark, sf).select("doc_id", structure.has_header(record).alias("has_header"))
 
 
-@query("has_rows", f"{_STRUCTURE} select doc_id, has_rows from checked where valid_utf8")
+@query("has_rows", f"{_STRUCTURE} select doc_id, has_rows from checked")
 def _(spark, sf):
-    found = structure.file_inventory(contents(spark, sf)).filter("valid_utf8")
-    return found.select("doc_id", "has_rows")
+    return structure.file_inventory(contents(spark, sf)).select("doc_id", "has_rows")
 
 
 @query("valid_utf8", f"{_STRUCTURE} select doc_id, valid_utf8 from checked")
@@ -306,7 +304,7 @@ def messages(spark, sf: str):
       when 1 then {_attachment(csv_name, 'content')} || {_attachment(second, "lang || ',' || source")}
       when 2 then {_attachment("'report.pdf'", 'content', mime='application/pdf')}
       when 3 then {_attachment(csv_name, 'content', kind='inline')}
-      when 4 then {_attachment("'=?utf-8?B?' || base64('größe-' || doc_id || '.csv') || '?='", 'content')} else '' end"""
+      when 4 then {_attachment("'=?utf-8?B?Z3LDtsOfZQ==?=-' || doc_id || '.csv'", 'content')} else '' end"""
     sql = f"""select path, cast({head} || case when doc_id % 6 = 5 then 'Content-Type: text/plain\\r\\n\\r\\nno file\\r\\n'
       else {open_parts} || {note} || {parts} || {close} end as binary) as content from {{source}}"""
     return spark.sql(sql, source=contents(spark, sf))
@@ -342,11 +340,11 @@ def _(spark, sf):
 
 @query(
     "sender_filter",
-    f"{_MAIL} select path, message_id from contents join (select doc_id, '<m' || doc_id || '@example.org>' as message_id from documents) using (doc_id) where contains(lower(source), 'web')",
+    f"{_MAIL} select path, message_id from contents join (select doc_id, '<m' || doc_id || '@example.org>' as message_id from documents) using (doc_id) where contains(lower(source), 'src1')",
 )
 def _(spark, sf):
     parts = mail.messages_of(mail.message_parts(messages(spark, sf)))
-    return mail.sender_filter(parts, "WEB").select("path", "message_id")
+    return mail.sender_filter(parts, "SRC1").select("path", "message_id")
 
 
 @query("first_attachment", f"{_MAIL} select path, filename from parts where part_index = 0")

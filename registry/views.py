@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from weighbridge.operators.rows import normalize_rows, split_valid_invalid
 from weighbridge.operators.upsert import upsert_latest
 from weighbridge.schemas import MEASURE_COLUMNS
+from weighbridge.sources.tables import spread_small
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -68,6 +69,11 @@ from orders
 """
 
 
+_RAW_INPUT = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag",
+]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -77,7 +83,8 @@ def _select(df: DataFrame, name: str, sql: str) -> DataFrame:
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(table(spark, sf_dir, "lineitem"), "lineitem", RAW_SQL)
+    lines = spread_small(table(spark, sf_dir, "lineitem").select(*_RAW_INPUT), "l_orderkey", "l_partkey", "l_suppkey")
+    return _select(lines, "lineitem", RAW_SQL)
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:

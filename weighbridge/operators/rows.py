@@ -46,9 +46,9 @@ def row_first_error() -> Column:
         F.col("transact_no").isNull(),
         F.col("scale_name").isNull(),
         unread("cyl_size_kg", _text("cyl_raw")),
-        unread("tare_weight_kg", _text("tare_kg")),
-        unread("fill_kg", _text("fill_kg")),
-        unread("residual_kg", _text("residual_kg")),
+        unread("tare_weight_kg", _text("tare_raw")),
+        unread("fill_kg", _text("fill_raw")),
+        unread("residual_kg", _text("residual_raw")),
         F.col("success").isNull(),
         F.col("started_at").isNull(),
         F.col("fill_time_seconds").isNull(),
@@ -74,20 +74,17 @@ def normalize_rows(raw: DataFrame) -> DataFrame:
     parsed once for the filter and again for the result.
     """
     kept = [c for c in raw.columns if c not in RAW_COLUMNS]
-    stripped = raw.select(
-        *kept, *RAW_COLUMNS, *[cells.strip_text(F.col(c)).alias(f"_{c}") for c in RAW_COLUMNS]
-    )
-    unitless = stripped.select(
-        "*", *[cells.without_unit(_text(f"{w}_raw")).alias(f"_{w}_kg") for w in ("tare", "fill", "residual")]
-    )
-    valued = unitless.select(
+    texts = {c: cells.strip_text(F.col(c)) for c in RAW_COLUMNS}
+    texts |= {c: cells.without_unit(texts[c]) for c in ("tare_raw", "fill_raw", "residual_raw")}
+    stripped = raw.select(*kept, *RAW_COLUMNS, *[text.alias(f"_{c}") for c, text in texts.items()])
+    valued = stripped.select(
         "*",
         cells.int_of(_text("transact_raw")).alias("transact_no"),
         F.nullif(_text("scale_raw"), F.lit("")).alias("scale_name"),
         cells.kg_of(_text("cyl_raw")).alias("cyl_size_kg"),
-        cells.kg_of(_text("tare_kg")).alias("tare_weight_kg"),
-        cells.kg_of(_text("fill_kg")).alias("fill_kg"),
-        cells.kg_of(_text("residual_kg")).alias("residual_kg"),
+        cells.kg_of(_text("tare_raw")).alias("tare_weight_kg"),
+        cells.kg_of(_text("fill_raw")).alias("fill_kg"),
+        cells.kg_of(_text("residual_raw")).alias("residual_kg"),
         cells.flag_of(_text("success_raw")).alias("success"),
         cells.to_utc(cells.local_time_of(_text("started_raw"))).alias("started_at"),
         cells.int_of(_text("fill_time_raw"), "int").alias("fill_time_seconds"),

@@ -88,7 +88,9 @@ def ingest_files(
     inventory = store.stage("inventory", batch_id, file_inventory(files).drop("header", "valid_utf8", "missing"))
     history = store.read_before("ingestion_files", batch_id).select(HASH, "id", "status")
 
-    new_files = dedup_files_in_history(dedup_files_in_batch(inventory), history, retry_failed)
+    new_files = store.stage(
+        "new_files", batch_id, dedup_files_in_history(dedup_files_in_batch(inventory), history, retry_failed)
+    )
     broken = unreadable(F.col("structure_errors"))
     to_read = new_files.filter(~broken).select(*FILE_KEY, "received_at", HASH, "names")
     rows = store.stage("rows", batch_id, normalize_rows(read_rows(to_read)))

@@ -16,6 +16,7 @@ from weighbridge.schemas import RAW_COLUMNS
 CSV_NAMES = "*.[cC][sS][vV]"
 # Upper bound of the files, and so of the path list, of one micro-batch.
 MAX_FILES_PER_BATCH = 10_000
+_BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 # Cells of a row that are certainly read; Spark's own default limit otherwise.
 _MAX_COLUMNS = 20_480
 
@@ -68,7 +69,7 @@ def landing_stream(
     spark: SparkSession, folder: str, max_files: int = MAX_FILES_PER_BATCH, names: str = CSV_NAMES
 ) -> DataFrame:
     """Files not seen before, oldest first; the stream's checkpoint is the seen mark."""
-    scan = spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+    scan = spark.readStream.format("binaryFile").schema(_BINARY_FILE).option("recursiveFileLookup", True)
     return _as_arrivals(
         scan.option("pathGlobFilter", names).option("maxFilesPerTrigger", max_files).load(folder)
     )
