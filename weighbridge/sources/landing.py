@@ -106,7 +106,10 @@ def positional_rows(spark: SparkSession, paths: list[str] | str, width: int) ->
         .option("recursiveFileLookup", True)
         .csv(paths)
     )
-    return scan.select(
+    # With mixed line ends an empty line can leave a lone carriage return behind.
+    rest = F.coalesce(*names[1:]) if width > 1 else F.lit(None)
+    empty = (F.trim("c0", F.lit("\r")) == "") & rest.isNull()
+    return scan.filter(~F.coalesce(empty, F.lit(False))).select(
         scanned_path().alias("path"),
         F.monotonically_increasing_id().alias("row_seq"),
         F.array(*names).alias("cells"),
