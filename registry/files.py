@@ -11,7 +11,7 @@ from registry import views as v
 from registry.tables import ORACLES, QUERIES, query
 from weighbridge.functions.values import sha256_hex
 from weighbridge.operators import outcome, reports, structure, upsert
-from weighbridge.operators.rows import normalize_rows, split_valid_invalid
+from weighbridge.operators.rows import normalize_rows, valid_part
 from weighbridge.operators.skew import ensure_checkpoint_dir
 from weighbridge.plans import ingest
 from weighbridge.schemas import KEY_COLUMNS, MEASURE_COLUMNS, RAW_COLUMNS, REQUIRED_HEADERS
@@ -499,7 +499,7 @@ def _(spark, sf):
     v.raw_rows(spark, sf).repartitionByRange(3, "arrived").write.parquet(f"{out}/slices")
     schema = spark.read.parquet(f"{out}/slices").schema
     slices = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/slices")
-    versions = split_valid_invalid(normalize_rows(slices))[0].withColumn(
+    versions = valid_part(normalize_rows(slices)).withColumn(
         "committed_at", F.col("arrived").cast("timestamp_ntz")
     )
     streams.stream_upsert(versions, f"{out}/versions", f"{out}/checkpoint").awaitTermination()

@@ -242,7 +242,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    bad = rows.split_valid_invalid(v.normalized(spark, sf))[1]
+    bad = rows.quarantine(v.normalized(spark, sf))
     return (
         bad.select("row_error.*").filter(F.col("code") == rows.CONSTRAINT)
         .groupBy("field").agg(F.count("*").alias("refused"))
@@ -250,7 +250,7 @@ def _(spark, sf):
 
 
 def _messages(spark, sf):
-    bad = rows.split_valid_invalid(v.normalized(spark, sf))[1]
+    bad = rows.quarantine(v.normalized(spark, sf))
     return bad.withColumn("message", rows.row_error_message(F.col("ln"), F.col("row_error")))
 
 

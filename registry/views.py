@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weighbridge.operators.rows import normalize_rows, split_valid_invalid
+from weighbridge.operators.rows import normalize_rows, valid_part
 from weighbridge.operators.upsert import upsert_latest
 from weighbridge.schemas import MEASURE_COLUMNS
 from weighbridge.sources.tables import spread_small
@@ -92,7 +92,7 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_valid_invalid(normalized(spark, sf_dir))[0]
+    return valid_part(normalized(spark, sf_dir))
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,11 +145,19 @@ def row_error_message(row_number: Column, error: Column) -> Column:
     return F.format_string("Row %d: %s", row_number, error["detail"])
 
 
-def split_valid_invalid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the quarantine with ``row_error`` in place of the values."""
-    good = rows.filter(F.col("error_rule").isNull()).drop("error_rule", "raw_value")
+def valid_part(rows: DataFrame) -> DataFrame:
+    """Good rows with their values."""
+    return rows.filter(F.col("error_rule").isNull()).drop("error_rule", "raw_value")
+
+
+def quarantine(rows: DataFrame) -> DataFrame:
+    """Bad rows, with ``row_error`` in place of the values."""
     bad = rows.filter(F.col("error_rule").isNotNull()).withColumn("row_error", row_error())
-    return good, bad.drop("error_rule", "raw_value", *VALUE_COLUMNS)
+    return bad.drop("error_rule", "raw_value", *VALUE_COLUMNS)
+
+
+def split_valid_invalid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return valid_part(rows), quarantine(rows)
 
 
 def error_summary(errors: DataFrame, file_key: str, order: list[str], first: int = 3) -> DataFrame:

@@ -15,8 +15,9 @@ from weighbridge.operators.dedup import HASH, dedup_files_in_batch, dedup_files_
 from weighbridge.operators.rows import (
     VALUE_COLUMNS,
     normalize_rows,
+    quarantine,
     row_error_message,
-    split_valid_invalid,
+    valid_part,
 )
 from weighbridge.operators.skew import join_heaviest_first
 from weighbridge.operators.structure import file_inventory, unreadable
@@ -121,7 +122,7 @@ def _write_files(store: Store, batch_id: int, outcomes: DataFrame, now: Column)
 def _write_transactions(
     store: Store, batch_id: int, policy: Policy, rows: DataFrame, outcomes: DataFrame, now: Column
 ) -> None:
-    good = split_valid_invalid(rows)[0]
+    good = valid_part(rows)
     if policy is STRICT:
         kept = outcomes.filter("kept").select(*FILE_KEY)
         good = good.join(kept, FILE_KEY, "left_semi")
@@ -140,7 +141,7 @@ def _write_transactions(
 
 
 def _write_row_errors(store: Store, batch_id: int, rows: DataFrame, counts: DataFrame) -> None:
-    bad = split_valid_invalid(rows)[1].join(counts.select(*FILE_KEY, "first_seq"), FILE_KEY)
+    bad = quarantine(rows).join(counts.select(*FILE_KEY, "first_seq"), FILE_KEY)
     number = F.col("row_seq") - F.col("first_seq") + 1
     errors = bad.select(
         HASH, "path", number.alias("row_number"), "row_error.field", "row_error.code",
