@@ -170,3 +170,16 @@ def test_inventory_hash_and_size(spark, tmp_path):
     write(tmp_path / "in", "a.csv", content)
     found = file_inventory(landing.landing_files(spark, str(tmp_path / "in"))).first()
     assert (found.file_sha256, found.length) == (hashlib.sha256(content).hexdigest(), len(content))
+
+
+def test_file_too_large_to_hash_fails_alone(spark, store, tmp_path):
+    folder = str(tmp_path / "in")
+    write(tmp_path / "in", "small.csv", csv_bytes(row(1)))
+    for name in ("large.csv", "larger.csv"):
+        write(tmp_path / "in", name, csv_bytes(*[row(n) for n in range(2, 30)]))
+    files = landing.landing_files(spark, folder, max_bytes=500)
+    ingest_files(store, 0, files, lambda wanted: landing.rows_by_name(spark, folder, wanted))
+    found = {r.filename: (r.status, r.error) for r in store.read("ingestion_files").collect()}
+    too_large = ("FAILED", "File validation failed: CSV file is too large")
+    assert found == {"small.csv": ("COMPLETED", None), "large.csv": too_large, "larger.csv": too_large}
+    assert [r.transact_no for r in store.current_transactions().collect()] == [1]

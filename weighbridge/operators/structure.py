@@ -12,6 +12,7 @@ from weighbridge.schemas import RAW_COLUMNS, REQUIRED_HEADERS
 NOT_UTF8 = "CSV file is not valid UTF-8"
 NO_HEADERS = "CSV has no headers"
 NO_ROWS = "CSV has no data rows"
+TOO_LARGE = "CSV file is too large"
 
 # One header record and its cells. Possessive quantifiers, so no backtracking.
 _RECORD = r'^(?:[^"\r\n]++|"(?:[^"]++|"")*+(?:"|\z))*+'
@@ -75,13 +76,16 @@ def file_inventory(files: DataFrame) -> DataFrame:
     """Identity and structure of each file, without its content.
 
     The structure errors follow one rule each: a bad encoding or an absent header
-    stops the check, missing columns and missing rows add up.
+    stops the check, missing columns and missing rows add up. A file too large to carry
+    its content is named by its path and date instead of its hash.
     """
     text = file_text(F.col("content"))
+    named_by = [c for c in ("path", "received_at") if c in files.columns]
+    stand_in = F.concat_ws("|", F.lit(TOO_LARGE), *[F.col(c).cast("string") for c in named_by])
     read = files.select(
         *[c for c in files.columns if c not in ("content", "length")],
         F.length("content").cast("bigint").alias("length"),
-        sha256_hex(F.col("content")).alias("file_sha256"),
+        sha256_hex(F.coalesce("content", stand_in.cast("binary"))).alias("file_sha256"),
         valid_utf8(F.col("content")).alias("valid_utf8"),
         header_record(text).alias("header"),
         has_rows(text, header_record(text)).alias("has_rows"),
@@ -91,7 +95,8 @@ def file_inventory(files: DataFrame) -> DataFrame:
         F.lit("Missing required columns: {'"), F.array_join(missing, "', '"), F.lit("'}")
     )
     found = (
-        F.when(~F.col("valid_utf8"), F.array(F.lit(NOT_UTF8)))
+        F.when(F.col("valid_utf8").isNull(), F.array(F.lit(TOO_LARGE)))
+        .when(~F.col("valid_utf8"), F.array(F.lit(NOT_UTF8)))
         .when(~has_header(F.col("header")), F.array(F.lit(NO_HEADERS)))
         .otherwise(
             F.array_compact(

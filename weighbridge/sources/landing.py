@@ -16,6 +16,8 @@ from weighbridge.schemas import RAW_COLUMNS
 CSV_NAMES = "*.[cC][sS][vV]"
 # Upper bound of the files, and so of the path list, of one micro-batch.
 MAX_FILES_PER_BATCH = 10_000
+# A file is hashed as one value, and Spark's values end at 2 GB.
+MAX_FILE_BYTES = 2_000_000_000
 _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 # Cells of a row that are certainly read; Spark's own default limit otherwise.
 _MAX_COLUMNS = 20_480
@@ -39,10 +41,20 @@ def _as_arrivals(files: DataFrame) -> DataFrame:
     )
 
 
-def landing_files(spark: SparkSession, folder: str, names: str = CSV_NAMES) -> DataFrame:
-    """All files of the folder with their bytes; a zero-byte file is not among them."""
+def landing_files(
+    spark: SparkSession, paths: str | list[str], names: str = CSV_NAMES, max_bytes: int = MAX_FILE_BYTES
+) -> DataFrame:
+    """All files with their bytes; a zero-byte file is not among them.
+
+    A file over ``max_bytes`` comes without content, is never read, and fails the file
+    checks. The condition on the length reaches the scan, which then opens only what it
+    must.
+    """
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return _as_arrivals(scan.option("pathGlobFilter", names).load(folder))
+    files = scan.option("pathGlobFilter", names).load(paths)
+    small = files.filter(F.col("length") <= max_bytes)
+    large = files.filter(F.col("length") > max_bytes).drop("content")
+    return _as_arrivals(small).union(_as_arrivals(large.withColumn("content", F.lit(None).cast("binary"))))
 
 
 def empty_landing_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,6 +116,7 @@ def positional_rows(spark: SparkSession, paths: list[str] | str, width: int) ->
         .option("escape", '"')
         .option("maxColumns", max(_MAX_COLUMNS, width + 1))
         .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", CSV_NAMES)
         .csv(paths)
     )
     # With mixed line ends an empty line can leave a lone carriage return behind.
