@@ -61,6 +61,21 @@ def test_skewed_join_answers_hot_cold_and_unknown_keys(spark):
     )
 
 
+def test_answered_rows_are_spread_by_the_salt(spark):
+    rows = spark.range(1000).select(F.pmod("id", F.lit(1)).alias("k"), "id")
+    joined = join_heaviest_first(rows, rows.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n", [F.col("id")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        used = joined.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin [_k_k" in plan and "_salt" in plan.split("SortMergeJoin")[1].split("]")[0]
+    assert len(used) > 1 and max(r["count"] for r in used) < 500
+
+
 def test_verdict_of_many_copies(spark):
     arrivals = spark.range(5000).select(
         F.format_string("p%05d", "id").alias("path"), F.lit(0).alias("part_index"),

@@ -33,10 +33,13 @@ def join_heaviest_first(
     salted = marked.select(
         "*",
         *[F.when(~answered, F.col(k)).alias(f"_k_{k}") for k in keys],
-        F.when(answered, F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(0).cast("int").alias("_salt"),
+        F.when(answered, F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(0).alias("_salt"),
     )
+    # Always 0, but computed: a literal would be folded out of the join keys, and with it
+    # the salt out of the partitioning.
+    no_salt = F.pmod(F.xxhash64(*keys), F.lit(1))
     rest = packed.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_found"), F.lit(0).alias("_salt")
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_found"), no_salt.alias("_salt")
     )
     joined = salted.join(rest, [*[f"_k_{k}" for k in keys], "_salt"], "left")
     return joined.select(*rows.columns, F.coalesce("_hot", "_found").alias("found"))

@@ -6,14 +6,12 @@ from pyspark.sql import SparkSession
 
 # The row checks generate large methods. The JVM does not compile methods over 8000 bytes,
 # so such a stage is better off with split projections than with one fused loop.
-# Landing folders hold many small files, so more of them share a task than by default. The
-# de-duplication state has one hash per file ever seen and belongs on disk.
+# The de-duplication state has one hash per file ever seen and belongs on disk.
 SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.openCostInBytes": str(1 << 20),
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
