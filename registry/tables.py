@@ -181,14 +181,14 @@ _RANK = "case place when 1 then '1st' when 2 then '2nd' when 3 then '3rd' else c
     "rank_label",
     q.current(
         f"select scale_name, rows_of_scale, {_RANK} as rank from (select *, row_number() over (order by rows_of_scale desc, scale_name) as place "
-        "from (select scale_name, count(*) as rows_of_scale from current group by 1))"
+        "from (select scale_name, count(*) as rows_of_scale from current group by 1)) where place <= 10"
     ),
 )
 def _(spark, sf):
     from pyspark.sql import Window
 
     counted = v.transactions(spark, sf).groupBy("scale_name").agg(F.count("*").alias("rows_of_scale"))
-    top = counted.orderBy(F.desc("rows_of_scale"), "scale_name").limit(100)
+    top = counted.orderBy(F.desc("rows_of_scale"), "scale_name").limit(10)
     place = F.row_number().over(Window.orderBy(F.desc("rows_of_scale"), "scale_name"))
     return top.select("scale_name", "rows_of_scale", values.rank_label(place).alias("rank"))
 
