@@ -35,11 +35,20 @@ def staged(df: DataFrame) -> DataFrame:
     """The rows written as Parquet to the shared folder and read back.
 
     Cuts the lineage, so that a lost executor costs the tasks it ran and nothing before, and
-    fixes rows that later steps read more than once. Tables stay until the folder is cleared.
+    fixes rows that later steps read more than once. ``discard`` deletes the table; what is not
+    discarded stays until the folder is cleared.
     """
     path = f"{shared_folder(df.sparkSession)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._staged_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a staged table that nothing reads any more."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._staged_at)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -85,3 +94,16 @@ def ranked(df: DataFrame, key: str, order: list[Column], spread: Column, cells:
         .withColumn(out, F.col("_start") + F.col("_row") - 1)
         .drop("_cell", "_row", "_start")
     )
+
+
+def one_row_each(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, ``key``) is in ``kept`` (doc_id, _key), one for each.
+
+    Ids may be null. Of rows with the same pair the first by text stays.
+    """
+    keyed = docs.withColumn("_key", key)
+    wanted = kept.distinct()
+    same = keyed["doc_id"].eqNullSafe(wanted["doc_id"]) & (keyed["_key"] == wanted["_key"])
+    first = Window.partitionBy("doc_id", "_key").orderBy("text")
+    met = keyed.join(wanted, same, "left_semi")
+    return met.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*docs.columns)

@@ -13,12 +13,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from weighbridge.llm.common import SPACE, batch_of, bounded_batches, staged, text_of
+from weighbridge.llm.common import SPACE, batch_of, bounded_batches, one_row_each, staged, text_of
 
 # Bytes of a text that a splitter carries.
 HEAD_BYTES = 64
@@ -73,6 +73,11 @@ def _neighbours(id_type: pa.DataType):
     return compare
 
 
+def normalised(text_col: str) -> Column:
+    """The bytes by which texts are compared."""
+    return F.regexp_replace(text_of(text_col), SPACE, " ").cast("binary")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col``, keep_id, group_size, kept, text_sha256.
 
@@ -83,8 +88,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    text = F.regexp_replace(text_of(text_col), SPACE, " ").cast("binary")
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("sha", F.sha2("text", 256))
+    rows = docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("text"))
+    rows = rows.withColumn("sha", F.sha2("text", 256))
     head = F.substring("text", 1, HEAD_BYTES)
     last = F.col("id").asc_nulls_last()
     ranges = rows.repartitionByRange(head, "sha", last).sortWithinPartitions(head, "sha", "text", last)
@@ -111,3 +116,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         (F.col("first") & F.coalesce("leads", F.lit(True))).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def exact_kept(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any other columns) that ``exact_groups`` keeps."""
+    keys = exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("_key"))
+    return one_row_each(docs, F.sha2(normalised("text"), 256), keys)

@@ -15,10 +15,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from weighbridge.llm.common import batch_of, bounded_batches, texts
 
@@ -180,3 +182,17 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def good_rows(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
+    bounded_batches(docs.sparkSession)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(DoubleType())
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = shipped.value.scorer()
+        for part in parts:
+            yield part.map(lambda t: of(t or "")).astype(float)
+
+    return docs.where(score("text") >= threshold)

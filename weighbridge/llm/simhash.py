@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weighbridge.llm.common import batch_of, bounded_batches, staged, texts
+from weighbridge.llm.common import batch_of, bounded_batches, one_row_each, staged, text_of, texts
 from weighbridge.llm.components import connected_components
 
 WORDS = 3
@@ -68,14 +68,14 @@ def _byte_counts(hashes: list[int]) -> np.ndarray:
     return np.bincount(columns.ravel(), minlength=2048)
 
 
-_PRINT_SCHEMA = "doc_id long, fp long"
+_PRINT_SCHEMA = "doc_id long, text_hash long, fp long"
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
     for batch in batches:
-        prints = np.array([fingerprint(t) for t in texts(batch.column(1))], np.uint64).view(np.int64)
-        yield batch_of(schema, [batch.column(0).cast(pa.int64()), prints])
+        prints = np.array([fingerprint(t) for t in texts(batch.column(2))], np.uint64).view(np.int64)
+        yield batch_of(schema, [batch.column(0), batch.column(1), prints])
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray) -> None:
@@ -185,7 +185,7 @@ def _link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``id_col``, fingerprint, component_id.
+    """One row per document: ``id_col``, fingerprint, component_id, text_hash (xxhash64 of the text).
 
     Documents are linked when their fingerprints differ in at most three bits; component_id is
     the smallest id that links reach. Documents without words have fingerprint 0 and are linked
@@ -193,7 +193,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     its fingerprint, and links nothing itself. Rows may repeat. No rows give no rows.
     """
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    text = text_of(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     prints = staged(rows.mapInArrow(_fingerprints, _PRINT_SCHEMA))
 
     # Equal fingerprints are one node, named by the smallest id.
@@ -221,4 +222,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("doc_id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
+        "text_hash",
     )
+
+
+def near_kept(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any other columns) without near-duplicates.
+
+    Of each group the row with the smallest id stays, of rows that share it the one with the
+    smallest text hash. Rows with a null id stay where no row with an id is near.
+    """
+    groups = near_groups(docs)
+    first = groups.where("component_id is not null").groupBy("component_id").agg(
+        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("one")
+    )
+    alone = groups.where("component_id is null").select("doc_id", "text_hash")
+    keys = first.select("one.doc_id", "one.text_hash").unionAll(alone)
+    return one_row_each(docs, F.xxhash64(text_of("text")), keys.withColumnRenamed("text_hash", "_key"))
