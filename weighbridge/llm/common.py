@@ -101,9 +101,11 @@ def one_row_each(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
 
     Ids may be null. Of rows with the same pair the first by text stays.
     """
-    keyed = docs.withColumn("_key", key)
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("whole"), F.col("doc_id").alias("id"), F.col("text").alias("by"), key.alias("key")
+    )
     wanted = kept.distinct()
-    same = keyed["doc_id"].eqNullSafe(wanted["doc_id"]) & (keyed["_key"] == wanted["_key"])
-    first = Window.partitionBy("doc_id", "_key").orderBy("text")
-    met = keyed.join(wanted, same, "left_semi")
-    return met.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*docs.columns)
+    same = keyed["id"].eqNullSafe(wanted["doc_id"]) & (keyed["key"] == wanted["_key"])
+    first = Window.partitionBy("id", "key").orderBy("by")
+    met = keyed.join(wanted, same, "left_semi").withColumn("n", F.row_number().over(first))
+    return met.where("n = 1").select("whole.*")

@@ -113,10 +113,11 @@ def shuffle_to_shards(rows: DataFrame, shards: int, seed: int = 42) -> DataFrame
 
     Shards are numbered from 0 and slots in each shard from 0 without gaps. Equal rows, nulls
     in any column and empty tables need no special care: nothing but the place of a row decides.
-    The columns shard, slot and those that begin with "_sh_" must not be in ``rows``.
+    Columns of ``rows`` named shard or slot, are replaced; _cell, _row, _start and names in
+    "_sh_" are left out.
     """
-    names = rows.columns
-    placed = rows.withColumn("_sh_at", F.monotonically_increasing_id())
+    names = [c for c in rows.columns if c not in ("shard", "slot", "_cell", "_row", "_start") and c[:4] != "_sh_"]
+    placed = rows.select(*names).withColumn("_sh_at", F.monotonically_increasing_id())
     local = placed.sortWithinPartitions(F.xxhash64(F.lit(seed), F.lit("local"), "_sh_at"))
     numbered = staged(
         local.withColumn("_sh_id", F.monotonically_increasing_id()).select(
