@@ -3,7 +3,9 @@
 Two zstandard dictionaries are made from labelled text: one of toxic words, one of ordinary
 words. Each window of a document, a word with a space on either side, is compressed with both;
 how many bytes the toxic dictionary saves over the ordinary one is the window's distance, and a
-document's score is its largest distance against a calibrated threshold.
+document is judged by its largest distance and by how many of its words pass each of a few
+distances. A logistic curve over these, fitted to labelled documents that the dictionaries have
+not seen, calibrates the thresholds.
 
 A label names a document, not the words that made it toxic. Words count as toxic if they hold a
 letter sequence that stands in far more toxic than ordinary documents. Ordinary words that the
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,8 +43,9 @@ ROUNDS = 2
 NEGATIVES = 2000
 # Bytes that an ordinary word may save on the toxic dictionary before it is added to the other.
 NEGATIVE_BYTES = 4
-# Ordinary documents that the threshold may flag.
-FALSE_SHARE = 0.01
+# Distances whose passing is counted.
+STEPS = (2, 3, 4, 5, 6, 8)
+RIDGE = 0.02
 THRESHOLD = 0.5
 
 MEMO_WORDS = 250_000
@@ -68,11 +71,11 @@ def words_of(text: str) -> set[str]:
 
 @dataclass
 class Model:
-    """Contents of the two dictionaries, the most telling words last, and the threshold."""
+    """Contents of the two dictionaries, the most telling words last, and the curve's parameters."""
 
     toxic: bytes
     ordinary: bytes
-    threshold: float
+    curve: np.ndarray | None = None
 
     def distance(self):
         """A function from a word to the bytes that the toxic dictionary saves."""
@@ -108,13 +111,39 @@ class Model:
 
         def score(text: str) -> float:
             words = words_of(text)
-            if not words:
+            if not words or self.curve is None:
                 return 0.0
-            return 1 / (1 + math.exp(self.threshold - max(map(saved, words))))
+            odds = float(self.curve @ signs(map(saved, words), len(words)))
+            return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
 
         return score
 
 
+def signs(distances: Iterable[int], words: int) -> np.ndarray:
+    """What a document's distances say: the largest, how many pass each step, and which share."""
+    found = np.fromiter(distances, np.int64, words)
+    passed = [(found >= step).sum() for step in STEPS]
+    return np.array([1.0, max(found.max(), 0), *np.log1p(passed), *(10 * np.sqrt(np.array(passed) / words))])
+
+
+def fitted_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weighted logistic regression with a ridge on all but the constant term."""
+    centre, scale = x.mean(axis=0), x.std(axis=0)
+    centre[0], scale[0] = 0.0, 1.0
+    scale[scale == 0] = 1.0
+    z = (x - centre) / scale
+    ridge = RIDGE * weight.sum() * np.eye(z.shape[1])
+    ridge[0, 0] = 1e-6
+    w = np.zeros(z.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        slope = z.T @ (weight * (p - y)) + ridge @ w
+        w -= np.linalg.solve(z.T @ (z * (weight * p * (1 - p))[:, None]) + ridge, slope)
+    out = w / scale
+    out[0] -= (w[1:] * centre[1:] / scale[1:]).sum()
+    return out
+
+
 def _grams(text: str) -> set[str]:
     found = set()
     for word in words_of(text):
@@ -139,38 +168,47 @@ def toxic_words(toxic: list[str], ordinary: list[str]) -> list[str]:
     return sorted(counts, key=lambda w: (-counts[w], w))
 
 
-def train(rows: list[tuple[str, int]]) -> Model:
-    """Dictionaries from the first part of each label's texts, the threshold from the rest."""
+def train(rows: list[tuple[str, int]], prior: float) -> Model:
+    """Dictionaries from the first part of each label's texts, the curve from the rest.
+
+    ``prior`` is the share of toxic documents where the model is used.
+    """
     parts = []
     for y in (1, 0):
         own = [t for t, label in rows if label == y]
         cut = len(own) - int(len(own) * CALIBRATION_SHARE)
         parts.append((own[:cut], own[cut:]))
-    (toxic, _), (ordinary, calm) = parts
+    (toxic, toxic_rest), (ordinary, ordinary_rest) = parts
     marked = toxic_words(toxic, ordinary)
     common = Counter(w for t in ordinary for w in words_of(t))
     base = sorted(common, key=lambda w: (-common[w], w))
     content = b"".join(map(window, reversed(marked)))
     kept = base[:ORDINARY_WORDS]
-    model = Model(content, b"".join(map(window, reversed(kept))), 0.0)
+    model = Model(content, b"".join(map(window, reversed(kept))))
     for _ in range(ROUNDS):
         saved = model.distance()
         known = set(kept[:-ORDINARY_WORDS] if len(kept) > ORDINARY_WORDS else [])
         close = sorted((w for w in base if w not in known and saved(w) >= NEGATIVE_BYTES), key=lambda w: (-saved(w), w))
         kept = close[:NEGATIVES] + kept
-        model = Model(content, b"".join(map(window, reversed(kept))), 0.0)
+        model = Model(content, b"".join(map(window, reversed(kept))))
     saved = model.distance()
-    seen = sorted(max(map(saved, words_of(t)), default=0) for t in calm or ordinary)
-    top = seen[min(len(seen) - 1, int(len(seen) * (1 - FALSE_SHARE)))] if seen else 0
-    return Model(model.toxic, model.ordinary, max(top, 1) + 0.5)
+    rest = [(words_of(t), y) for y, own in ((1, toxic_rest or toxic), (0, ordinary_rest or ordinary)) for t in own]
+    rest = [(words, y) for words, y in rest if words]
+    y = np.array([y for _, y in rest], float)
+    if not 0 < y.sum() < len(y):
+        return model
+    x = np.array([signs(map(saved, words), len(words)) for words, _ in rest])
+    weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
+    model.curve = fitted_curve(x, y, weight)
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model:
     """A model from the training fold. Without labelled toxic rows nothing is toxic."""
-    rows, _ = labelled_sample(docs, labels, label, sample_docs)
+    rows, prior = labelled_sample(docs, labels, label, sample_docs)
     if not any(y for _, y in rows):
-        return Model(b"", b"", math.inf)
-    return train(rows)
+        return Model(b"", b"")
+    return train(rows, min(max(prior, 1e-3), 1 - 1e-3))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
