@@ -75,3 +75,13 @@ def test_ratio_rounds_exact_halves_up(spark):
     for part, whole, places, want in cases:
         got = spark.range(1).select(values.rounded_ratio(F.lit(part), F.lit(whole), places)).first()[0]
         assert got == (want and Decimal(want))
+
+
+def test_casts_accept_no_more_than_the_rules(spark):
+    given = ["\x0112", "12\x00", "\x0112.5", "12", "+7", "1_000", "\u0661\u0662", "12.5", "1e2"]
+    rows = spark.createDataFrame([(c,) for c in given], "c string")
+    got = rows.select(cells.parse_required_int(F.col("c")).alias("i"), cells.kg_of(F.col("c")).alias("k")).collect()
+    assert [r.i for r in got] == [None, None, None, 12, 7, 1000, 12, 12, 100]
+    assert [None if r.k is None else float(r.k) for r in got] == [None, None, None, 12.0, 7.0, 1000.0, 12.0, 12.5, 100.0]
+    times = spark.createDataFrame([("2024-01-01 10:00:0Z",), ("2024-01-01 10:00:00",)], "c string")
+    assert [r[0] is None for r in times.select(cells.local_time_to_utc(F.col("c"))).collect()] == [True, False]

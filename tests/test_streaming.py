@@ -106,3 +106,21 @@ def test_kpi_snapshots(spark, tmp_path):
         "scale_leaderboard": reports.scale_leaderboard(spark.read.parquet(rows)),
     }.items():
         assert sorted(map(str, spark.read.parquet(f"{out}/{name}").collect())) == sorted(map(str, want.collect()))
+
+
+def test_streams_and_batches_share_a_store(spark, store, tmp_path):
+    fill(tmp_path / "in")
+    ingest_landing(store, str(tmp_path / "in"))
+    before = counts(store)["file_arrivals"]
+    for n, cp in enumerate(("cp1", "cp2"), 1):
+        write(tmp_path / f"new{n}", "a.csv", csv_bytes(row(500 + n)))
+        stream_ingest(store, str(tmp_path / f"new{n}"), str(tmp_path / cp)).awaitTermination()
+        assert counts(store)["file_arrivals"] == before + n
+    assert sorted(r.batch_id for r in store.commits().collect()) == [0, 1, 2]
+
+
+def test_replayed_micro_batch_keeps_its_number(spark, store, tmp_path):
+    assert store.batch_of("stream a", 0) == 0
+    store.commit(0, "stream a", 0)
+    store.commit(1, "stream b", 0)
+    assert (store.batch_of("stream a", 0), store.batch_of("stream b", 0), store.batch_of("stream a", 1)) == (0, 1, 2)

@@ -7,6 +7,8 @@ cheap cast, and only the rest reach the regular expressions.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,10 +27,15 @@ NON_FINITE = r"(?i)^[+-]?(inf|infinity|nan)$"
 TRUE_WORDS = ["Y", "YES", "TRUE", "1"]
 FALSE_WORDS = ["N", "NO", "FALSE", "0"]
 
-# Up to this many characters a decimal text survives the trip through a double.
-_EXACT_LENGTH = 15
+# Spellings that a cast reads as the number rule does. A cast alone accepts more: control
+# characters around a number, or a zone after a time.
+_PLAIN_INT = r"^[+-]?\d{1,15}$"
+_PLAIN_KG = r"^[+-]?\d{1,9}(\.\d{1,3})?$"
+_PLAIN_TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
-_PLAIN_TIME = "____-__-__ __:__:__"
+# Decimal digits of all scripts but the first, and the digits they stand for.
+_OTHER_DIGITS = "".join(chr(c) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Nd")
+_THEIR_VALUES = "".join(str(unicodedata.digit(c)) for c in _OTHER_DIGITS)
 _LOOSE_TIME = r"^(\d{4})-(\d{1,2})-(\d{1,2}| [1-9])\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
@@ -44,17 +51,24 @@ def is_blank(text: Column) -> Column:
 
 def is_number_like(text: Column) -> Column:
     """True for anything that reads as a number, infinities and NaN included."""
-    return text.rlike(NUMBER) | text.rlike(NON_FINITE)
+    return ascii_digits(text).rlike(NUMBER) | text.rlike(NON_FINITE)
+
+
+def ascii_digits(text: Column) -> Column:
+    """The text with the digits of other scripts replaced by the common ones."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(ascii_only, text).otherwise(F.translate(text, _OTHER_DIGITS, _THEIR_VALUES))
 
 
 def _double_of(text: Column) -> Column:
-    return F.when(text.rlike(NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    digits = ascii_digits(text)
+    return F.when(digits.rlike(NUMBER), F.replace(digits, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def int_of(text: Column, type_name: str = "bigint") -> Column:
     """Whole part of a stripped number, truncated toward zero; out of range is NULL."""
-    short = F.when(F.length(text) <= _EXACT_LENGTH, text.try_cast(type_name))
-    return F.coalesce(short, _double_of(text).try_cast(type_name))
+    plain = F.when(text.rlike(_PLAIN_INT), text.try_cast(type_name))
+    return F.coalesce(plain, _double_of(text).try_cast(type_name))
 
 
 def float_of(text: Column) -> Column:
@@ -63,8 +77,8 @@ def float_of(text: Column) -> Column:
 
 def kg_of(text: Column) -> Column:
     """Stripped number as kilograms with three decimals; out of range is NULL."""
-    short = F.when(F.length(text) <= _EXACT_LENGTH, text.try_cast("decimal(10,3)"))
-    return F.coalesce(short, quantize_kg(_double_of(text)))
+    plain = F.when(text.rlike(_PLAIN_KG), text.try_cast("decimal(10,3)"))
+    return F.coalesce(plain, quantize_kg(_double_of(text)))
 
 
 def without_unit(text: Column) -> Column:
@@ -87,7 +101,7 @@ def local_time_of(text: Column) -> Column:
         F.lit(" "), part(4), F.lit(":"), part(5), F.lit(":"), part(6),
     )
     dated = ~text.startswith("0000")
-    plain = F.when(text.like(_PLAIN_TIME) & dated, text.try_cast("timestamp_ntz"))
+    plain = F.when(text.rlike(_PLAIN_TIME) & dated, text.try_cast("timestamp_ntz"))
     return F.coalesce(
         plain, F.when(text.rlike(_LOOSE_TIME) & dated, padded.try_cast("timestamp_ntz"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,10 +47,12 @@ def join_heaviest_first(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the session's own setting, a temporary one if unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """Shared checkpoint folder: the session's own setting. A temporary one in local mode only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        folder = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="weighbridge-")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="weighbridge-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -24,7 +24,7 @@ from weighbridge.operators.structure import file_inventory, unreadable
 from weighbridge.operators.upsert import file_id, first_n_rows, insert_only_unique, transaction_id
 from weighbridge.schemas import INBOX, KEY_COLUMNS, PROCESSED
 from weighbridge.sources import landing, mail
-from weighbridge.sources.tables import Store
+from weighbridge.sources.tables import BATCH_JOB, Store
 
 FILE_KEY = ["path", "part_index"]
 RowReader = Callable[[DataFrame], DataFrame]
@@ -78,6 +78,8 @@ def ingest_files(
     as_of: str | None = None,
     messages: DataFrame | None = None,
     retry_failed: bool = False,
+    writer: str = BATCH_JOB,
+    writer_batch: int | None = None,
 ) -> None:
     """Ingests one batch of arrivals (``schemas.ARRIVALS``) into the store.
 
@@ -106,6 +108,7 @@ def ingest_files(
     if messages is not None:
         _write_dispositions(store, batch_id, policy, messages, judged)
     store.write("file_arrivals", batch_id, judged.withColumn("created_at", now))
+    store.commit(batch_id, writer, writer_batch)
 
 
 def _write_files(store: Store, batch_id: int, outcomes: DataFrame, now: Column) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weighbridge.functions.values import as_of_time
-from weighbridge.operators.upsert import cascade_delete, retention_cleanup
+from weighbridge.operators.upsert import retention_cleanup
 from weighbridge.schemas import ARRIVAL_COLUMNS, KEY_COLUMNS
 from weighbridge.sources.tables import Store
 
@@ -33,7 +33,8 @@ def rewrite_store(
     """Copy of the committed store under a new root, as one batch; the old one stays.
 
     With ``days_old``, finished files older than that many days are left out, and with
-    them the current rows that they own. Readers move over when the copy is committed.
+    them the rows and arrivals of those files. What belongs to no file row, such as a refused
+    file's errors, stays. Readers move over when the copy is committed.
     """
     target = Store(store.spark, root)
     batch_id = store.next_batch_id() - 1
@@ -42,13 +43,14 @@ def rewrite_store(
     errors = store.read("row_errors")
     arrivals = store.read("file_arrivals")
     if days_old is not None:
-        files = target.stage("kept_files", batch_id, retention_cleanup(files, as_of_time(as_of), days_old))
-        versions = cascade_delete(versions, files, "ingestion_file_id", "id")
-        errors = cascade_delete(errors, files, "file_sha256", "file_sha256")
-        arrivals = cascade_delete(arrivals, files, "file_sha256", "file_sha256")
+        kept = target.stage("kept_files", batch_id, retention_cleanup(files, as_of_time(as_of), days_old))
+        gone = files.join(kept, "file_sha256", "left_anti").select("file_sha256")
+        versions, errors, arrivals = (rows.join(gone, "file_sha256", "left_anti") for rows in (versions, errors, arrivals))
+        files = kept
     target.write("ingestion_files", batch_id, files)
     target.write("scale_transactions", batch_id, versions)
     target.write("row_errors", batch_id, errors)
     target.write("dispositions", batch_id, store.read("dispositions"))
     target.write("file_arrivals", batch_id, arrivals)
+    target.commit(batch_id)
     return target

@@ -7,13 +7,13 @@ from pyspark.sql import SparkSession
 # The row checks generate large methods. The JVM does not compile methods over 8000 bytes,
 # so such a stage is better off with split projections than with one fused loop.
 # The de-duplication state has one hash per file ever seen and belongs on disk. Mail messages
-# go to Python with their attachments, so few of them make a batch.
+# go to Python with their attachments, so batches are bounded by bytes.
 SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
