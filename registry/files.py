@@ -174,8 +174,8 @@ def _(spark, sf):
 
 
 def upsert_view(store: Store):
-    files = store.read("ingestion_files").select("id", "filename", "message_id", "correlation_id")
-    return reports.lineage(store.current_transactions(), files)
+    files = store.read("ingestion_files").select("file_sha256", "filename", "message_id", "correlation_id")
+    return reports.lineage(store.current_transactions(), files, "file_sha256", "file_sha256")
 
 
 @query(
@@ -196,22 +196,26 @@ def _(spark, sf):
 
 # ---- file contents of every shape, one per document -----------------------------------------------
 
-_HEADER = ",".join(REQUIRED_HEADERS)
+_HEADER = ",".join([*REQUIRED_HEADERS, "Note"])
+# Every file carries its document's whole text: as a quoted cell, or, where a file must have no
+# rows, as the line ends of the text.
+_NOTE = """',"' || replace(text, '"', '""') || '"'"""
+_LINE_ENDS = r"regexp_replace(text, '[^\r\n]', '', 'g')"
 _ROW = (
     "(n_chars % 97 + 1) || ',Scale-0' || (doc_id % 5) || ',50,11.2kg,' || (doc_id % 7) || "
-    "'.25kg,0.5kg,Y,2024-01-' || lpad(cast(doc_id % 28 + 1 as string), 2, '0') || ' 10:00:00,60' || chr(10)"
+    f"'.25kg,0.5kg,Y,2024-01-' || lpad(cast(doc_id % 28 + 1 as string), 2, '0') || ' 10:00:00,60' || {_NOTE} || chr(10)"
 )
 _BAD_ROW = "case when doc_id % 3 = 0 then '7,Scale-01,50,1kg,1kg,1kg,maybe,2024-01-01 10:00:00,60' || chr(10) else '' end"
 _H = f"'{_HEADER}' || chr(10)"
-_SWAPPED = "'Extra,Scale Name,TransactNo,CylSize,TareWeight,Fill kgs,Residual,Success,Date Time Start,Fill Time' || chr(13) || chr(10)"
+_SWAPPED = "'Extra,Scale Name,TransactNo,CylSize,TareWeight,Fill kgs,Residual,Success,Date Time Start,Fill Time,Note' || chr(13) || chr(10)"
 _SWAPPED_ROW = (
     "'x,Scale-0' || (doc_id % 5) || ',' || (n_chars % 97 + 1) || ',50,11.2kg,' || (doc_id % 7) || "
-    "'.25kg,0.5kg,\"Y\",2024-01-' || lpad(cast(doc_id % 28 + 1 as string), 2, '0') || ' 10:00:00,60' || chr(13) || chr(10)"
+    f"'.25kg,0.5kg,\"Y\",2024-01-' || lpad(cast(doc_id % 28 + 1 as string), 2, '0') || ' 10:00:00,60' || {_NOTE} || chr(13) || chr(10)"
 )
 CONTENTS_SQL = f"""select doc_id, 'doc/' || lpad(cast(doc_id as string), 12, '0') as path, source, lang,
-  case doc_id % 10 when 0 then {_H} || {_ROW} || {_BAD_ROW} when 1 then {_H} when 2 then ''
+  case doc_id % 10 when 0 then {_H} || {_ROW} || {_BAD_ROW} when 1 then {_H} || {_LINE_ENDS} when 2 then {_LINE_ENDS}
     when 3 then chr(10) || {_H} || {_ROW} when 4 then replace({_H}, ',Residual', '') || {_ROW}
-    when 5 then replace({_H}, ',Fill Time', '') when 6 then {_SWAPPED} || {_SWAPPED_ROW}
+    when 5 then replace({_H}, ',Fill Time', '') || {_LINE_ENDS} when 6 then {_SWAPPED} || {_SWAPPED_ROW}
     when 7 then chr(65279) || {_H} || {_ROW} when 8 then {_H} || {_ROW} else text end as body from documents"""
 _CONTENTS = f"contents as ({CONTENTS_SQL})"
 _REQUIRED = "[" + ", ".join(f"'{h}'" for h in REQUIRED_HEADERS) + "]"
@@ -229,7 +233,7 @@ def contents(spark, sf: str):
     """Arriving files of every shape, with one byte that is not UTF-8 where the shape asks."""
     made = v._select(
         v.table(spark, sf, "documents"), "documents",
-        CONTENTS_SQL.replace("chr(65279)", "decode(unhex('EFBBBF'), 'utf-8')"),
+        CONTENTS_SQL.replace("chr(65279)", "decode(unhex('EFBBBF'), 'utf-8')").replace(", '', 'g')", ", '')"),
     )
     spoiled = F.concat(F.col("body").cast("binary"), F.unhex(F.lit("FF")))
     return made.withColumn(

@@ -8,6 +8,7 @@ from registry import sqltext as q
 from registry import views as v
 from weighbridge.functions import cells, values
 from weighbridge.operators import dedup, outcome, reports, rows, upsert
+from weighbridge.operators.skew import cut_lineage
 from weighbridge.schemas import KEY_COLUMNS, MEASURE_COLUMNS, RAW_COLUMNS
 
 KEYS = ["file_id", "ln", "pk", "sk", "arrived"]
@@ -292,7 +293,10 @@ _SUMMARY_ORDER = ["ln", "arrived", "pk", "file_id"]
     ),
 )
 def _(spark, sf):
-    return rows.error_summary(_messages(spark, sf), "sk", _SUMMARY_ORDER).withColumn(
+    bad = v.normalized(spark, sf).filter(F.col("error_rule").isNotNull())
+    narrow = bad.select("sk", *_SUMMARY_ORDER, "error_rule", "raw_value")
+    message = rows.row_error_message(F.col("ln"), rows.row_error())
+    return rows.error_summary(narrow, "sk", _SUMMARY_ORDER, message=message).withColumn(
         "first_errors", F.array_join("first_errors", "; ")
     )
 
@@ -345,8 +349,7 @@ def _hashed(spark, sf):
 _HISTORY = "history as (select distinct file_sha256 from arrivals where source = (select min(source) from arrivals))"
 
 
-def _history(spark, sf):
-    hashed = _hashed(spark, sf)
+def _history(hashed):
     least = hashed.agg(F.min("source").alias("source"))
     known = hashed.join(F.broadcast(least), "source", "left_semi").select("file_sha256").distinct()
     status = F.when(F.col("file_sha256") < "8", "FAILED").otherwise("COMPLETED")
@@ -367,7 +370,8 @@ def _(spark, sf):
     "where file_sha256 not in (select file_sha256 from history)",
 )
 def _(spark, sf):
-    return dedup.dedup_files_in_history(_hashed(spark, sf), _history(spark, sf)).select("path", "file_sha256")
+    hashed = cut_lineage(_hashed(spark, sf))
+    return dedup.dedup_files_in_history(hashed, _history(hashed)).select("path", "file_sha256")
 
 
 @query(
@@ -388,7 +392,8 @@ def _(spark, sf):
     from placed p left join history h using (file_sha256)""",
 )
 def _(spark, sf):
-    judged = dedup.duplicate_verdict(_hashed(spark, sf), _history(spark, sf))
+    hashed = cut_lineage(_hashed(spark, sf))
+    judged = dedup.duplicate_verdict(hashed, _history(hashed))
     return judged.select("path", "file_sha256", "status", "original_status")
 
 

@@ -228,20 +228,24 @@ def batch_profile(rows: DataFrame, batch_key: str) -> DataFrame:
     )
 
 
-def lineage(rows: DataFrame, files: DataFrame) -> DataFrame:
+def lineage(
+    rows: DataFrame, files: DataFrame, row_key: str = "ingestion_file_id", file_key: str = "id"
+) -> DataFrame:
     """Each row with its file, its message and both correlation ids.
 
+    Rows of a store are joined on ``file_sha256``: ids are short hashes, and two of many
+    files may share one.
     Both sides reach the join straight from a shuffle, so the adaptive planner can split
     a file that owns a large share of the rows.
     """
     origin = files.select(
-        F.col("id").alias("ingestion_file_id"),
+        F.col(file_key).alias(row_key),
         "filename",
         "message_id",
         F.col("correlation_id").alias("file_correlation_id"),
     )
     return rows.withColumnRenamed("correlation_id", "row_correlation_id").join(
-        origin, "ingestion_file_id"
+        origin, row_key
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weighbridge.functions import cells
+from weighbridge.operators.skew import SALTS
 from weighbridge.schemas import MEASURE_COLUMNS, RAW_COLUMNS, STATUSES
 
 # Error codes of a quarantined row.
@@ -160,23 +161,31 @@ def split_valid_invalid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid_part(rows), quarantine(rows)
 
 
-def error_summary(errors: DataFrame, file_key: str, order: list[str], first: int = 3) -> DataFrame:
-    """Per file: error count and its first messages.
+def error_summary(
+    errors: DataFrame, file_key: str, order: list[str], first: int = 3, message: Column | None = None
+) -> DataFrame:
+    """Per file: error count and its first messages, from one pass over the errors.
 
-    Both halves shrink before they shuffle: the count by partial aggregation, the list
-    by the rank limit that each task applies to its own rows.
+    The errors of a file are first ranked in SALTS parts, which leave ``first`` rows and a
+    count each; so a file that owns most errors is no single sort. ``message`` is only
+    put together for the rows that are left (default: the column of that name).
     """
-    counts = errors.groupBy(file_key).agg(F.count("*").alias("error_count"))
-    rank = F.row_number().over(Window.partitionBy(file_key).orderBy(*order))
+    message = F.col("message") if message is None else message
+    part = F.pmod(F.xxhash64(*order), F.lit(SALTS))
+    ours, whole = Window.partitionBy(file_key, "_part"), Window.partitionBy(file_key)
     leading = (
-        errors.select(file_key, "message", *[c for c in order if c not in (file_key, "message")])
-        .withColumn("_rank", rank)
+        errors.withColumn("_part", part)
+        .withColumn("_rank", F.row_number().over(ours.orderBy(*order)))
+        .withColumn("_count", F.count("*").over(ours))
         .filter(F.col("_rank") <= first)
-        .groupBy(file_key)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", "message"))).alias("_first"))
+        .withColumn("_place", F.row_number().over(whole.orderBy(*order)))
+        .withColumn("error_count", F.sum(F.when(F.col("_rank") == 1, F.col("_count"))).over(whole))
+        .filter(F.col("_place") <= first)
+        .select(file_key, "error_count", "_place", message.alias("_message"))
     )
-    return counts.join(leading, file_key).select(
-        file_key, "error_count", F.col("_first.message").alias("first_errors")
+    ranked = F.array_sort(F.collect_list(F.struct("_place", "_message")))
+    return leading.groupBy(file_key, "error_count").agg(ranked.alias("_first")).select(
+        file_key, "error_count", F.col("_first._message").alias("first_errors")
     )
 
 

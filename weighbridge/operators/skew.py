@@ -21,11 +21,14 @@ def join_heaviest_first(
     ``weight`` is the lookup's count of rows per key. The HOT_KEYS heaviest lookup rows
     are broadcast (a fixed number, whatever the data). Rows they answer then ride
     through the shuffled join under a salt made from ``spread``, matching nothing; the
-    others meet the rest of the lookup under their key. Adds the column ``found``, a
-    struct of the lookup's other columns, NULL where the key is absent.
+    others meet the rest of the lookup under their key. The lookup is read by both joins
+    and so written once. Adds the column ``found``, a struct of the lookup's other columns,
+    NULL where the key is absent.
     """
     fields = [c for c in lookup.columns if c not in keys]
-    packed = lookup.select(*keys, F.col(weight).alias("_weight"), F.struct(*fields).alias("_found"))
+    packed = cut_lineage(
+        lookup.select(*keys, F.col(weight).alias("_weight"), F.struct(*fields).alias("_found"))
+    )
     hot = packed.orderBy(F.desc("_weight"), *keys).limit(HOT_KEYS).select(
         *keys, F.col("_found").alias("_hot")
     )
