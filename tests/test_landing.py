@@ -1,5 +1,6 @@
 """File shapes, row errors and the three policies over landing folders."""
 
+import hashlib
 from datetime import datetime
 
 import pytest
@@ -164,22 +165,54 @@ def test_rows_of_a_file_keep_their_order(spark, tmp_path):
 
 
 def test_inventory_hash_and_size(spark, tmp_path):
-    import hashlib
-
     content = csv_bytes(row(1))
     write(tmp_path / "in", "a.csv", content)
     found = file_inventory(landing.landing_files(spark, str(tmp_path / "in"))).first()
     assert (found.file_sha256, found.length) == (hashlib.sha256(content).hexdigest(), len(content))
 
 
-def test_file_too_large_to_hash_fails_alone(spark, store, tmp_path):
+LINES = csv_bytes(*[row(n) for n in range(2, 30)])
+LARGE = {
+    "line_end.csv": LINES,
+    "no_line_end.csv": LINES.rstrip(b"\n") + b" ",
+    "bom.csv": b"\xef\xbb\xbf" + LINES,
+    "bom_no_line_end.csv": b"\xef\xbb\xbf" + LINES.rstrip(b"\n"),
+    "crlf.csv": LINES.replace(b"\n", b"\r\n"),
+    "bad_utf8.csv": LINES + b"\xff\n",
+    "blank_first.csv": b"\n\n" + LINES,
+    "header_only.csv": csv_bytes() + b"\r\n" * 600,
+    "quoted.csv": csv_bytes(*[row(n, scale='"a\n\n,b"') for n in range(90, 120)], header=HEADER.replace("Residual", '"Resi\ndual"')),
+}
+
+
+def test_a_file_read_by_lines_is_judged_like_one_value(spark, tmp_path):
+    for name, content in LARGE.items():
+        write(tmp_path, name, content)
+    columns = ["path", "length", "file_sha256", "valid_utf8", "header", "has_rows", "names", "structure_errors"]
+    found = [
+        {r.path: r for r in file_inventory(landing.landing_files(spark, str(tmp_path), max_bytes=m)).select(columns).collect()}
+        for m in (500, 10**9)
+    ]
+    assert len(found[0]) == len(LARGE)
+    assert found[0] == found[1]
+
+
+def test_large_file_keeps_its_rows(spark, store, tmp_path):
     folder = str(tmp_path / "in")
     write(tmp_path / "in", "small.csv", csv_bytes(row(1)))
-    for name in ("large.csv", "larger.csv"):
-        write(tmp_path / "in", name, csv_bytes(*[row(n) for n in range(2, 30)]))
+    for name in ("large.csv", "copy.csv"):
+        write(tmp_path / "in", name, LINES)
     files = landing.landing_files(spark, folder, max_bytes=500)
     ingest_files(store, 0, files, lambda wanted: landing.rows_by_name(spark, folder, wanted))
-    found = {r.filename: (r.status, r.error) for r in store.read("ingestion_files").collect()}
-    too_large = ("FAILED", "File validation failed: CSV file is too large")
-    assert found == {"small.csv": ("COMPLETED", None), "large.csv": too_large, "larger.csv": too_large}
-    assert [r.transact_no for r in store.current_transactions().collect()] == [1]
+    assert sorted(r.status for r in store.read("file_arrivals").collect()) == ["COMPLETED", "COMPLETED", "DUPLICATE"]
+    stored = store.read("ingestion_files").select("file_sha256").collect()
+    assert hashlib.sha256(LINES).hexdigest() in {r.file_sha256 for r in stored}
+    assert sorted(r.transact_no for r in store.current_transactions().collect()) == list(range(1, 30))
+
+
+@pytest.mark.parametrize("wide", [row(2) + "," * 21_000, row(2) + ',"a\nb"' * 21_000, row(2) + ',x"' + ",y" * 21_000])
+def test_wide_rows_harm_no_file(spark, store, tmp_path, wide):
+    write(tmp_path / "in", "good.csv", csv_bytes(row(1)))
+    write(tmp_path / "in", "wide.csv", csv_bytes(wide, row(3)))
+    ingest_landing(store, str(tmp_path / "in"))
+    assert sorted(r.transact_no for r in store.current_transactions().collect()) == [1, 2, 3]

@@ -12,12 +12,15 @@ from weighbridge.schemas import RAW_COLUMNS, REQUIRED_HEADERS
 NOT_UTF8 = "CSV file is not valid UTF-8"
 NO_HEADERS = "CSV has no headers"
 NO_ROWS = "CSV has no data rows"
-TOO_LARGE = "CSV file is too large"
 
 # One header record and its cells. Possessive quantifiers, so no backtracking.
 _RECORD = r'^(?:[^"\r\n]++|"(?:[^"]++|"")*+(?:"|\z))*+'
 _CELL = r',("(?:[^"]++|"")*+(?:"|\z)[^,]*+|[^,]*+)'
 _NEWLINES = "\r\n"
+# Cells of a row that a CSV scan reads in any case; files with wider rows say how wide.
+USUAL_WIDTH = 20_480
+# What is known of a file that is too large to travel as one value.
+FACTS = "struct<length: bigint, file_sha256: string, valid_utf8: boolean, head: string, more_rows: boolean, widest: bigint>"
 
 
 def file_text(content: Column) -> Column:
@@ -72,31 +75,51 @@ def header_positions(names: Column) -> Column:
     return F.struct(*[place(h).alias(c) for h, c in REQUIRED_HEADERS.items()])
 
 
+def _commas(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+
+
+def widest_row(text: Column) -> Column:
+    """Cells of the widest row or more; 0 if no row can be wider than usual.
+
+    Rows are lines, once as they are and once without their quoted parts, which may hold
+    line ends. A stray quote spoils the second reading only.
+    """
+
+    def widest_line(t: Column) -> Column:
+        long = F.filter(F.split(t, r"[\r\n]+"), lambda line: F.length(line) >= USUAL_WIDTH)
+        return F.coalesce(F.array_max(F.transform(long, lambda line: _commas(line) + 1)), F.lit(0))
+
+    unquoted = F.when(F.contains(text, F.lit('"')), widest_line(F.regexp_replace(text, '"[^"]*+"', "")))
+    return F.when(_commas(text) >= USUAL_WIDTH, F.greatest(widest_line(text), unquoted)).otherwise(0).cast("bigint")
+
+
 def file_inventory(files: DataFrame) -> DataFrame:
     """Identity and structure of each file, without its content.
 
     The structure errors follow one rule each: a bad encoding or an absent header
-    stops the check, missing columns and missing rows add up. A file too large to carry
-    its content is named by its path and date instead of its hash.
+    stops the check, missing columns and missing rows add up. A file that is too large to
+    carry its content has ``facts`` (``FACTS``) instead.
     """
-    text = file_text(F.col("content"))
-    named_by = [c for c in ("path", "received_at") if c in files.columns]
-    stand_in = F.concat_ws("|", F.lit(TOO_LARGE), *[F.col(c).cast("string") for c in named_by])
+    if "facts" not in files.columns:
+        files = files.withColumn("facts", F.lit(None).cast(FACTS))
+    fact = lambda name, own: F.coalesce(own, F.col(f"facts.{name}")).alias(name)
+    text = F.coalesce(file_text(F.col("content")), "facts.head")
     read = files.select(
-        *[c for c in files.columns if c not in ("content", "length")],
-        F.length("content").cast("bigint").alias("length"),
-        sha256_hex(F.coalesce("content", stand_in.cast("binary"))).alias("file_sha256"),
-        valid_utf8(F.col("content")).alias("valid_utf8"),
+        *[c for c in files.columns if c not in ("content", "length", "facts")],
+        fact("length", F.length("content").cast("bigint")),
+        fact("file_sha256", sha256_hex(F.col("content"))),
+        fact("valid_utf8", valid_utf8(F.col("content"))),
         header_record(text).alias("header"),
-        has_rows(text, header_record(text)).alias("has_rows"),
+        (has_rows(text, header_record(text)) | F.coalesce("facts.more_rows", F.lit(False))).alias("has_rows"),
+        fact("widest", widest_row(file_text(F.col("content")))),
     ).withColumn("names", header_names(F.col("header")))
     missing = missing_columns(F.col("names"))
     named = F.concat(
         F.lit("Missing required columns: {'"), F.array_join(missing, "', '"), F.lit("'}")
     )
     found = (
-        F.when(F.col("valid_utf8").isNull(), F.array(F.lit(TOO_LARGE)))
-        .when(~F.col("valid_utf8"), F.array(F.lit(NOT_UTF8)))
+        F.when(~F.col("valid_utf8"), F.array(F.lit(NOT_UTF8)))
         .when(~has_header(F.col("header")), F.array(F.lit(NO_HEADERS)))
         .otherwise(
             F.array_compact(

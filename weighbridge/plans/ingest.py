@@ -95,7 +95,9 @@ def ingest_files(
         "new_files", batch_id, dedup_files_in_history(dedup_files_in_batch(inventory), history, retry_failed)
     )
     broken = unreadable(F.col("structure_errors"))
-    to_read = new_files.filter(~broken).select(*FILE_KEY, "received_at", HASH, "names")
+    # The scan of the rows also meets the files that are not wanted, so all widths count.
+    widest = F.lit(inventory.agg(F.max("widest")).first()[0]).cast("bigint").alias("widest")
+    to_read = new_files.filter(~broken).select(*FILE_KEY, "received_at", HASH, "names", widest)
     rows = store.stage("rows", batch_id, normalize_rows(read_rows(to_read)))
 
     counts = store.stage("counts", batch_id, outcome.row_counts(rows, FILE_KEY))
@@ -161,7 +163,7 @@ def _arrivals(
     Copies of a file that leaves no file row are no duplicates: each gets the outcome
     that it would get alone.
     """
-    verdict = duplicate_verdict(inventory, history, retry_failed=retry_failed).drop("names", "structure_errors")
+    verdict = duplicate_verdict(inventory, history, retry_failed=retry_failed).drop("names", "structure_errors", "widest")
     results = outcomes.select(
         HASH, F.col("status").alias("_status"), F.col("error").alias("_error"), "outcome", "valid_count", "kept"
     )

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weighbridge.operators.structure import (
+    FACTS,
+    USUAL_WIDTH,
     cells_by_name,
     file_inventory,
     header_positions,
@@ -16,11 +22,10 @@ from weighbridge.schemas import RAW_COLUMNS
 CSV_NAMES = "*.[cC][sS][vV]"
 # Upper bound of the files, and so of the path list, of one micro-batch.
 MAX_FILES_PER_BATCH = 10_000
-# A file is hashed as one value, and Spark's values end at 2 GB.
-MAX_FILE_BYTES = 2_000_000_000
+# Spark's values end at 2 GB. Larger files are hashed line by line.
+MAX_VALUE_BYTES = 2_000_000_000
 _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
-# Cells of a row that are certainly read; Spark's own default limit otherwise.
-_MAX_COLUMNS = 20_480
+_BYTE_ORDER_MARK = b"\xef\xbb\xbf"
 
 
 def _as_arrivals(files: DataFrame) -> DataFrame:
@@ -38,23 +43,116 @@ def _as_arrivals(files: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("subject"),
         arrived.alias("received_at"),
         "content",
+        F.col("facts") if "facts" in files.columns else F.lit(None).cast(FACTS).alias("facts"),
     )
 
 
 def landing_files(
-    spark: SparkSession, paths: str | list[str], names: str = CSV_NAMES, max_bytes: int = MAX_FILE_BYTES
+    spark: SparkSession, paths: str | list[str], names: str = CSV_NAMES, max_bytes: int = MAX_VALUE_BYTES
 ) -> DataFrame:
     """All files with their bytes; a zero-byte file is not among them.
 
-    A file over ``max_bytes`` comes without content, is never read, and fails the file
-    checks. The condition on the length reaches the scan, which then opens only what it
-    must.
+    A file over ``max_bytes`` comes with ``facts`` in place of its content. The condition
+    on the length reaches the scans, which then open only what they must.
     """
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = scan.option("pathGlobFilter", names).load(paths)
     small = files.filter(F.col("length") <= max_bytes)
     large = files.filter(F.col("length") > max_bytes).drop("content")
-    return _as_arrivals(small).union(_as_arrivals(large.withColumn("content", F.lit(None).cast("binary"))))
+    told = large.join(large_file_facts(spark, paths, names, max_bytes), "path")
+    return _as_arrivals(small).union(_as_arrivals(told.withColumn("content", F.lit(None).cast("binary"))))
+
+
+def large_file_facts(spark: SparkSession, paths: str | list[str], names: str, min_bytes: int) -> DataFrame:
+    """``path`` and ``facts`` of the files over ``min_bytes``, read as lines.
+
+    The lines of a file are read and checked by many tasks; then they run through one task in
+    order, as its hash needs them, a batch at a time.
+    """
+    scan = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).option("pathGlobFilter", names)
+    lines = (
+        scan.text(paths)
+        .filter(F.col("_metadata.file_size") > min_bytes)
+        .select(
+            scanned_path().alias("path"),
+            F.col("_metadata.file_size").alias("length"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("place"),
+            F.is_valid_utf8("value").alias("valid"),
+            F.col("value").cast("binary").alias("line"),
+        )
+    )
+    ordered = lines.repartition("path").sortWithinPartitions("path", "start", "place")
+    found = ordered.select("path", "length", "valid", "line").mapInArrow(
+        _told_by_lines,
+        "path string, length bigint, file_sha256 string, valid_utf8 boolean, head binary, more_rows boolean, widest bigint",
+    )
+    facts = F.struct("length", "file_sha256", "valid_utf8", F.col("head").cast("string").alias("head"), "more_rows", "widest")
+    return found.select("path", facts.cast(FACTS).alias("facts"))
+
+
+class _Lines:
+    """What the lines of one file tell. The scan drops a byte order mark and says nothing of a
+    last line end; the file's length tells both at the end, so two hashes are kept until then."""
+
+    def __init__(self, path: str, length: int):
+        self.path, self.length = path, length
+        self.plain, self.marked = hashlib.sha256(), hashlib.sha256(_BYTE_ORDER_MARK)
+        self.size, self.valid, self.more_rows, self.widest = 0, True, False, 0
+        self.head, self.in_head, self.quoted, self.cells = [], True, False, 1
+
+    def add(self, line: bytes, valid: bool) -> None:
+        if self.size:
+            self.plain.update(b"\n")
+            self.marked.update(b"\n")
+        self.plain.update(line)
+        self.marked.update(line)
+        self.size += len(line) + 1
+        self.valid &= valid
+        for i, part in enumerate(line.split(b'"')):
+            if i:
+                self.quoted = not self.quoted
+            if not self.quoted:
+                self.cells += part.count(b",")
+        self.widest = max(self.widest, self.cells, line.count(b",") + 1)
+        if self.in_head:
+            self.head.append(line)
+        else:
+            self.more_rows |= bool(line.strip(b"\r\n"))
+        if not self.quoted:
+            self.in_head, self.cells = False, 1
+
+    def told(self) -> tuple:
+        missing = self.length - self.size
+        has_mark = missing > 0
+        sha = self.marked if has_mark else self.plain
+        if missing - (len(_BYTE_ORDER_MARK) if has_mark else 0) == 0:
+            sha.update(b"\n")
+        head = (_BYTE_ORDER_MARK if has_mark else b"") + b"\n".join(self.head) + b"\n"
+        return self.path, self.length, sha.hexdigest(), self.valid, head, self.more_rows, self.widest
+
+
+def _told_by_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema(
+        [
+            ("path", pa.string()), ("length", pa.int64()), ("file_sha256", pa.string()), ("valid_utf8", pa.bool_()),
+            ("head", pa.binary()), ("more_rows", pa.bool_()), ("widest", pa.int64()),
+        ]
+    )
+    now = None
+    for batch in batches:
+        for path, length, valid, line in zip(*(c.to_pylist() for c in batch.columns)):
+            if now is None or now.path != path:
+                if now is not None:
+                    yield _one_row(now.told(), schema)
+                now = _Lines(path, length)
+            now.add(line, valid)
+    if now is not None:
+        yield _one_row(now.told(), schema)
+
+
+def _one_row(values: tuple, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
 
 def empty_landing_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,11 +200,12 @@ def scanned_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def positional_rows(spark: SparkSession, paths: list[str] | str, width: int) -> DataFrame:
+def positional_rows(spark: SparkSession, paths: list[str] | str, width: int, widest: int = 0) -> DataFrame:
     """Data rows of all files in one scan, whatever their headers: path, row_seq, cells.
 
     A file is read by one task from its start, so ``row_seq`` rises by one per row of a
-    file. Short rows end in NULLs and cells beyond ``width`` are dropped.
+    file. Short rows end in NULLs and cells beyond ``width`` are dropped. No row of the
+    folder may have more than ``widest`` cells, or the usual number if that is more.
     """
     names = [f"c{i}" for i in range(width)]
     scan = (
@@ -114,7 +213,7 @@ def positional_rows(spark: SparkSession, paths: list[str] | str, width: int) ->
         .option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
-        .option("maxColumns", max(_MAX_COLUMNS, width + 1))
+        .option("maxColumns", max(USUAL_WIDTH, width, widest) + 1)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", CSV_NAMES)
         .csv(paths)
@@ -132,22 +231,27 @@ def positional_rows(spark: SparkSession, paths: list[str] | str, width: int) ->
 def rows_by_name(spark: SparkSession, paths: list[str] | str, files: DataFrame) -> DataFrame:
     """The required cells of every row of the given files, next to the files' columns.
 
-    ``files`` has ``path`` and ``names`` (the header). The driver learns one number, the
-    last place that any required column has; the names themselves join on the path.
+    ``files`` has ``path``, ``names`` (the header, NULL for a file whose rows are not wanted)
+    and ``widest``, the most cells that a row of the scanned files has. The driver learns
+    two numbers, that and the last place that any required column has; the names
+    themselves join on the path.
     """
-    placed = files.withColumn("_positions", header_positions(F.col("names"))).drop("names")
-    last = placed.agg(F.max(F.greatest(*[F.col(f"_positions.{c}") for c in RAW_COLUMNS]))).first()[0]
-    rows = positional_rows(spark, paths, 1 if last is None else last + 1)
-    kept = [c for c in placed.columns if c not in ("path", "_positions")]
-    return rows.join(placed, "path").select(
+    placed = files.withColumn("_positions", F.when(F.col("names").isNotNull(), header_positions(F.col("names"))))
+    last, widest = placed.agg(
+        F.max(F.greatest(*[F.col(f"_positions.{c}") for c in RAW_COLUMNS])), F.max("widest")
+    ).first()
+    rows = positional_rows(spark, paths, 1 if last is None else last + 1, widest or 0)
+    kept = [c for c in placed.columns if c not in ("path", "_positions", "names", "widest")]
+    return rows.join(placed.filter(F.col("names").isNotNull()), "path").select(
         "path", *kept, "row_seq", *cells_by_name(F.col("cells"), F.col("_positions"))
     )
 
 
 def csv_landing_source(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of all readable CSV files of a folder, by header name, with row numbers."""
-    files = file_inventory(landing_files(spark, folder)).filter(~unreadable(F.col("structure_errors")))
-    rows = rows_by_name(spark, folder, files.select("path", "names"))
+    files = file_inventory(landing_files(spark, folder))
+    names = F.when(~unreadable(F.col("structure_errors")), F.col("names")).alias("names")
+    rows = rows_by_name(spark, folder, files.select("path", names, "widest"))
     place = F.row_number().over(Window.partitionBy("path").orderBy("row_seq"))
     return rows.select("path", place.alias("row_number"), *RAW_COLUMNS)
 
