@@ -455,6 +455,38 @@ def _(spark, sf):
     return _table_counts(store)
 
 
+def mail_folder(spark, sf: str) -> str:
+    """The messages as files, one each."""
+
+    def make():
+        folder = new_folder(spark, "mail")
+        stored = messages(spark, sf).select(
+            F.regexp_extract("path", r"(\d+)$", 1).alias("doc"), F.col("content").cast("string").alias("value")
+        )
+        stored.repartition("doc").sortWithinPartitions("doc").write.partitionBy("doc").option("lineSep", "\n").text(folder)
+        return folder
+
+    return _once(spark, sf, "mail-folder", make)
+
+
+def _streamed_dispositions(spark, sf: str, policy: ingest.Policy):
+    store = Store(spark, new_folder(spark, f"mail-stream-{policy.name}"))
+    streaming_ingest.stream_mail(
+        store, mail_folder(spark, sf), f"{store.root}/_checkpoint", policy, as_of=AS_OF, names="*.txt"
+    ).awaitTermination()
+    return store.read("dispositions").select("message_id", "folder", "reason")
+
+
+@query("mail_stream_lenient", f"select message_id, folder, reason from ({_EVERY} {_LENIENT_FOLDER})")
+def _(spark, sf):
+    return _streamed_dispositions(spark, sf, ingest.LENIENT)
+
+
+@query("mail_stream_strict", f"select message_id, folder, reason from ({_STRICT} select * from strict)")
+def _(spark, sf):
+    return _streamed_dispositions(spark, sf, ingest.STRICT)
+
+
 @query("replay_safe", _INGESTED)
 def _(spark, sf):
     """The same folder through the same batch id twice."""

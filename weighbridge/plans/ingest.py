@@ -219,7 +219,8 @@ def ingest_landing(
 
 def ingest_mail(
     store: Store, messages: DataFrame, policy: Policy = LENIENT, as_of: str | None = None,
-    batch_id: int | None = None, sender: str | None = None,
+    batch_id: int | None = None, sender: str | None = None, retry_failed: bool = False,
+    writer: str = BATCH_JOB, writer_batch: int | None = None,
 ) -> int:
     """Ingests the CSV attachments of stored messages (path, content) as one batch.
 
@@ -238,7 +239,7 @@ def ingest_mail(
     ingest_files(
         store, batch_id, mail.attachment_arrivals(attachments),
         lambda wanted: mail.attachment_rows(attachments, wanted), policy, as_of,
-        messages=mail.messages_of(parts),
+        messages=mail.messages_of(parts), retry_failed=retry_failed, writer=writer, writer_batch=writer_batch,
     )
     return batch_id
 
