@@ -430,29 +430,31 @@ def _table_stream(spark, sf: str, name: str):
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
-_INGESTED = f"""with {_JUDGED}, files as (select sk, yr, count(*) filter (where rule is null) as good from landed group by 1, 2)
-  select 'file_arrivals' as name, cast(count(*) as bigint) as n from files union all select 'ingestion_files', count(*) from files
-  union all select 'current_transactions', count(*) from (select distinct scale_name, transact_no from landed where rule is null)
-  union all select 'scale_transactions', count(*) from landed where rule is null
-  union all select 'row_errors', count(*) from landed where rule is not null"""
+_INGESTED = f"""with {_JUDGED} select sk, yr, {', '.join([*KEY_COLUMNS, *MEASURE_COLUMNS])}, 'COMPLETED' as status
+  from landed where rule is null union all select sk, yr, {', '.join(['null'] * len([*KEY_COLUMNS, *MEASURE_COLUMNS]))}, 'quarantine'
+  from landed where rule is not null union all
+  select sk, yr, {', '.join(['null'] * len([*KEY_COLUMNS, *MEASURE_COLUMNS]))}, case when count(*) filter (where rule is null) > 0
+  then 'file COMPLETED' else 'file FAILED' end from landed group by sk, yr"""
 
 
-def _table_counts(store: Store):
-    counted = [
-        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, df in {
-            **{t: store.read(t) for t in ("file_arrivals", "ingestion_files", "scale_transactions", "row_errors")},
-            "current_transactions": store.current_transactions(),
-        }.items()
-    ]
-    return counted[0].union(counted[1]).union(counted[2]).union(counted[3]).union(counted[4])
+def _stored(store: Store):
+    """Every stored version, every refused row and every arrival, by origin."""
+    versions, errors = store.read("scale_transactions"), store.read("row_errors")
+    blank = [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in (*KEY_COLUMNS, *MEASURE_COLUMNS)]
+    return (
+        versions.select(*_origin(), *KEY_COLUMNS, *MEASURE_COLUMNS, F.lit("COMPLETED").alias("status"))
+        .unionByName(errors.select(*_origin(), *blank, F.lit("quarantine").alias("status")))
+        .unionByName(
+            store.read("file_arrivals").select(*_origin(), *blank, F.concat(F.lit("file "), "status").alias("status"))
+        )
+    )
 
 
 @query("stream_ingest", _INGESTED)
 def _(spark, sf):
     store, folder = Store(spark, new_folder(spark, "stream-store")), landing_folder(spark, sf)
     streaming_ingest.stream_ingest(store, folder, f"{store.root}/_checkpoint", as_of=AS_OF).awaitTermination()
-    return _table_counts(store)
+    return _stored(store)
 
 
 def mail_folder(spark, sf: str) -> str:
@@ -489,11 +491,13 @@ def _(spark, sf):
 
 @query("replay_safe", _INGESTED)
 def _(spark, sf):
-    """The same folder through the same batch id twice."""
+    """A micro-batch of the stream a second time, as after a crash before its offset was stored."""
     folder, store = landing_folder(spark, sf), Store(spark, new_folder(spark, "replay-store"))
-    for _ in range(2):
-        ingest.ingest_landing(store, folder, as_of=AS_OF, batch_id=0)
-    return _table_counts(store)
+    checkpoint = f"{store.root}/_checkpoint"
+    streaming_ingest.stream_ingest(store, folder, checkpoint, as_of=AS_OF).awaitTermination()
+    again = streaming_ingest.ingest_micro_batch(store, checkpoint, streaming_ingest.landing_ingest(as_of=AS_OF))
+    again(landing.landing_files(spark, folder).select("path"), 0)
+    return _stored(store)
 
 
 @query("stream_file_dedup", "select distinct sha256(text) as file_sha256 from documents")

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from weighbridge.operators.rows import normalize_rows, valid_part
 from weighbridge.operators.upsert import upsert_latest
 from weighbridge.schemas import MEASURE_COLUMNS
-from weighbridge.sources.tables import spread_small
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -82,8 +81,17 @@ def _select(df: DataFrame, name: str, sql: str) -> DataFrame:
     return df.sparkSession.sql(sql.replace(f"from {name}", "from {source}"), source=df)
 
 
+def spread_few_splits(df: DataFrame, *keys: str) -> DataFrame:
+    """Test tables of one row group are one split, whatever the split size; spread over the cores.
+
+    Tables with as many splits as cores are left as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread_small(table(spark, sf_dir, "lineitem").select(*_RAW_INPUT), "l_orderkey", "l_partkey", "l_suppkey")
+    lines = spread_few_splits(table(spark, sf_dir, "lineitem").select(*_RAW_INPUT), "l_orderkey", "l_partkey", "l_suppkey")
     return _select(lines, "lineitem", RAW_SQL)
 
 
