@@ -45,7 +45,8 @@ _ESCAPE = re.compile(
 # Sixteen characters of base64 hold twelve bytes, less than which no secret fits.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _URL_SAFE = str.maketrans("-_", "+/")
-_UNPRINTABLE = re.compile(r"[\x00-\x08\x0E-\x1F\x7F-\x9F�]")
+# ASCII text of at least that size in UTF-16, of either byte order.
+_UTF16 = (re.compile(rb"(?:[\x09-\x0D\x20-\x7E]\x00){12,}"), re.compile(rb"(?:\x00[\x09-\x0D\x20-\x7E]){12,}"))
 
 _BATCH_ROWS = 512
 MASK = "[secret]"
@@ -151,12 +152,21 @@ def _unpacked(raw: bytes) -> bytes | None:
     return None
 
 
-def _readable(raw: bytes) -> str | None:
+def _readings(raw: bytes) -> Iterator[tuple[str, np.ndarray]]:
+    """(characters, offsets in the bytes) of each way to read bytes as text; none is dropped.
+
+    What is not UTF-8 is read as Latin-1, which keeps every secret, as secrets are ASCII.
+    """
     try:
         text = raw.decode()
+        sizes = [1] * len(text) if text.isascii() else [len(c.encode()) for c in text]
+        yield text, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     except UnicodeDecodeError:
-        return None
-    return None if not text or _UNPRINTABLE.search(text) else text
+        yield raw.decode("latin-1"), np.arange(len(raw) + 1)
+    if b"\x00" in raw:
+        for order, pattern in enumerate(_UTF16):
+            for m in pattern.finditer(raw):
+                yield m[0][order::2].decode(), m.start() + 2 * np.arange(len(m[0]) // 2 + 1)
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
@@ -166,20 +176,15 @@ def _base64(layer: Layer) -> Iterator[Layer]:
         raw = base64.b64decode(body + "=" * (-len(body) % 4))
         inner = _unpacked(raw)
         if inner is None:
-            text = _readable(raw)
-            if text is None:
-                continue
-            sizes = [1] * len(text) if text.isascii() else [len(c.encode()) for c in text]
-            cuts = np.concatenate([[0], np.cumsum(sizes)])
             s, e = layer.origins(*m.span())
-            # A byte lies in two of the four characters of its group.
-            yield Layer(text, s[cuts[:-1] * 4 // 3], e[np.minimum((cuts[1:] * 4 + 2) // 3, len(e)) - 1])
+            for text, cuts in _readings(raw):
+                # A byte lies in two of the four characters of its group.
+                yield Layer(text, s[cuts[:-1] * 4 // 3], e[np.minimum((cuts[1:] * 4 + 2) // 3, len(e)) - 1])
             continue
         while (deeper := _unpacked(inner)) is not None and deeper != inner:
             inner = deeper
-        text = _readable(inner)
-        if text is not None:
-            start, end = layer.span(*m.span())
+        start, end = layer.span(*m.span())
+        for text, _ in _readings(inner):
             yield Layer(text, np.full(len(text), start), np.full(len(text), end))
 
 
