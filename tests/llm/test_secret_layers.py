@@ -24,3 +24,26 @@ def test_layers_with_unreadable_bytes(raw, pack):
     text = f"before {base64.b64encode(pack(raw)).decode()} after"
     spans = found(text)
     assert spans and all(7 <= s < e <= len(text) - 6 for s, _, e in spans)
+
+
+LONG = " ".join(f"é{n * n}" for n in range(300)) + f" {SECRET} " + " ".join(f"ü{n * n}" for n in range(300))
+
+
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+@pytest.mark.parametrize("brk", ["\n", "\r\n", "\n    ", "\\n"])
+@pytest.mark.parametrize("width", [17, 64, 76])
+def test_wrapped_base64(pack, brk, width):
+    for shift in range(8):
+        blob = base64.b64encode(pack((" " * shift + LONG).encode())).decode()
+        text = "before\n" + brk.join(blob[i : i + width] for i in range(0, len(blob), width)) + " after"
+        spans = found(text)
+        assert spans and all(7 <= s < e <= len(text) - 6 for s, _, e in spans)
+        if pack is bytes:
+            assert all(e - s < 50 for s, _, e in spans)
+
+
+@pytest.mark.parametrize("prefix", ["blob/", "id_", "x-y-", "/a/b/", "v1", "abc", "q"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_base64_after_characters_of_its_class(prefix, pack):
+    for encode in (base64.b64encode, base64.urlsafe_b64encode):
+        assert found(f"see {prefix}{encode(pack(SECRET.encode())).decode()} there")

@@ -44,6 +44,10 @@ _ESCAPE = re.compile(
 )
 # Sixteen characters of base64 hold twelve bytes, less than which no secret fits.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# The same over several lines; the breaks may be escaped as in JSON.
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
+_WRAPPED = re.compile(rf"(?:[A-Za-z0-9+/_-]{{16,}}+{_BREAK.pattern})+[A-Za-z0-9+/_-]++={{0,2}}")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd|BZh[1-9]|\xfd7zXZ\x00")
 _URL_SAFE = str.maketrans("-_", "+/")
 # ASCII text of at least that size in UTF-16, of either byte order.
 _UTF16 = (re.compile(rb"(?:[\x09-\x0D\x20-\x7E]\x00){12,}"), re.compile(rb"(?:\x00[\x09-\x0D\x20-\x7E]){12,}"))
@@ -169,23 +173,43 @@ def _readings(raw: bytes) -> Iterator[tuple[str, np.ndarray]]:
                 yield m[0][order::2].decode(), m.start() + 2 * np.arange(len(m[0]) // 2 + 1)
 
 
-def _base64(layer: Layer) -> Iterator[Layer]:
+def _contents(raw: bytes) -> Iterator[tuple[int, bytes]]:
+    """(start, bytes inside) of compressed data, wherever in the bytes it starts."""
+    for m in _MAGIC.finditer(raw):
+        inner = _unpacked(raw[m.start() :])
+        while inner and (deeper := _unpacked(inner)) is not None and deeper != inner:
+            inner = deeper
+        if inner:
+            yield m.start(), inner
+
+
+def _runs(layer: Layer) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Runs of base64 characters with their origins, line by line and over line breaks."""
     for m in _BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").translate(_URL_SAFE)
-        body = body[: len(body) - (len(body) % 4 == 1)]
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        inner = _unpacked(raw)
-        if inner is None:
-            s, e = layer.origins(*m.span())
+        yield m[0], *layer.origins(*m.span())
+    for m in _WRAPPED.finditer(layer.text):
+        s, e = layer.origins(*m.span())
+        kept = np.ones(len(m[0]), bool)
+        for gap in _BREAK.finditer(m[0]):
+            kept[slice(*gap.span())] = False
+        yield _BREAK.sub("", m[0]), s[kept], e[kept]
+
+
+def _base64(layer: Layer) -> Iterator[Layer]:
+    for run, starts, ends in _runs(layer):
+        whole = run.rstrip("=").translate(_URL_SAFE)
+        # What encodes a text may start anywhere in a run, as in a path; one of four offsets meets it.
+        for at in range(min(4, len(whole) - 15)):
+            body = whole[at : len(whole) - ((len(whole) - at) % 4 == 1)]
+            raw = base64.b64decode(body + "=" * (-len(body) % 4))
+            s, e = starts[at:], ends[at:]
             for text, cuts in _readings(raw):
                 # A byte lies in two of the four characters of its group.
                 yield Layer(text, s[cuts[:-1] * 4 // 3], e[np.minimum((cuts[1:] * 4 + 2) // 3, len(e)) - 1])
-            continue
-        while (deeper := _unpacked(inner)) is not None and deeper != inner:
-            inner = deeper
-        start, end = layer.span(*m.span())
-        for text, _ in _readings(inner):
-            yield Layer(text, np.full(len(text), start), np.full(len(text), end))
+            for first, inner in _contents(raw):
+                start, end = int(s[first * 4 // 3]), int(e.max())
+                for text, _ in _readings(inner):
+                    yield Layer(text, np.full(len(text), start), np.full(len(text), end))
 
 
 def layers(text: str) -> Iterator[Layer]:
