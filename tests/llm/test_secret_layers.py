@@ -1,9 +1,14 @@
 """Secrets in layers that are not plain, whole or alone."""
 
 import base64
+import bz2
 import gzip
+import lzma
+import urllib.parse
+import zlib
 
 import pytest
+import zstandard
 
 from weighbridge.llm import secret_scan
 
@@ -47,3 +52,26 @@ def test_wrapped_base64(pack, brk, width):
 def test_base64_after_characters_of_its_class(prefix, pack):
     for encode in (base64.b64encode, base64.urlsafe_b64encode):
         assert found(f"see {prefix}{encode(pack(SECRET.encode())).decode()} there")
+
+
+PACKS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress]
+
+
+@pytest.mark.parametrize("pack", PACKS)
+@pytest.mark.parametrize("write", [
+    urllib.parse.quote, urllib.parse.quote_plus, repr, lambda raw: "".join(f"%{b:02X}" for b in raw),
+    lambda raw: "".join(f"\\x{b:02x}" for b in raw),
+])
+def test_compressed_bytes_as_escapes(write, pack):
+    text = f"see {write(pack(f'a long {SECRET} here'.encode() * 5))} there, and more"
+    spans = found(text)
+    assert spans and all(s >= 4 and s < e <= text.index(" there") for s, _, e in spans)
+
+
+@pytest.mark.parametrize("pack", PACKS)
+@pytest.mark.parametrize("pad", [b"", b"\0" * 8])
+def test_all_members_are_read(pack, pad):
+    raw = pack(b"first") + pad + pack(b"second") + pack(SECRET.encode())
+    assert found(f"see {base64.b64encode(raw).decode()} there")
+    parts = pack(b"say password=hun") + pad + pack(b"ter2abc now")
+    assert found(f"see {base64.b64encode(parts).decode()} there")

@@ -1,7 +1,7 @@
 """Secrets in texts and in what the texts encode.
 
 Each text is the first layer of a worklist. A layer is scanned, then every decoder is tried on
-it: percent escapes, character escapes, base64 and compressed data inside base64. What they
+it: percent escapes, character escapes, base64, and compressed data inside base64 or escaped bytes. What they
 give are new layers, until none is new. A layer carries, for each of its characters, the span of
 the original text it comes from, so a secret in any layer is a span of the original. A layer
 that was seen with the same origin ends its branch, so decoding that runs in a circle ends.
@@ -42,6 +42,11 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
 )
+# Escaped bytes among which those that need no escape stand as they are.
+_PERCENT_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~!*'()/+-])++")
+_X_BYTES = re.compile(r"(?:\\x[0-9A-Fa-f]{2}|\\[abfnrtv0\\'\"]|[\x20-\x5B\x5D-\x7E])++")
+_ONE_BYTE = re.compile(r"%([0-9A-Fa-f]{2})|\\x([0-9A-Fa-f]{2})|\\(.)|.", re.DOTALL)
+_SHORT = dict(zip("abfnrtv0", b"\a\b\f\n\r\t\v\0"))
 # Sixteen characters of base64 hold twelve bytes, less than which no secret fits.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # The same over several lines; the breaks may be escaped as in JSON.
@@ -138,24 +143,34 @@ def _escape(run: str):
     return chr(code), np.array([0, len(run)])
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    """The bytes inside compressed data; None if it is none."""
-    try:
-        if raw[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(raw)
-        if raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] << 8 | raw[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(raw)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().decompressobj().decompress(raw)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(raw)
-    except (zlib.error, zstandard.ZstdError, lzma.LZMAError, OSError, EOFError, ValueError):
-        pass
+def _decompressor(raw: bytes):
+    if raw[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] << 8 | raw[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if raw[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
     return None
 
 
+def _unpacked(raw: bytes) -> tuple[bytes, int]:
+    """The bytes inside compressed data, of all members in a row, and how many bytes these take."""
+    out, size, used = [], len(raw), 0
+    while (member := _decompressor(raw)) is not None:
+        try:
+            out.append(member.decompress(raw))
+        except (zlib.error, zstandard.ZstdError, lzma.LZMAError, OSError, EOFError, ValueError):
+            break
+        used = size - len(member.unused_data)
+        # Archives may be padded with zeros between their members.
+        raw = member.unused_data.lstrip(b"\0") if member.eof else b""
+    return b"".join(out), used
+
+
 def _readings(raw: bytes) -> Iterator[tuple[str, np.ndarray]]:
     """(characters, offsets in the bytes) of each way to read bytes as text; none is dropped.
 
@@ -173,14 +188,14 @@ def _readings(raw: bytes) -> Iterator[tuple[str, np.ndarray]]:
                 yield m[0][order::2].decode(), m.start() + 2 * np.arange(len(m[0]) // 2 + 1)
 
 
-def _contents(raw: bytes) -> Iterator[tuple[int, bytes]]:
-    """(start, bytes inside) of compressed data, wherever in the bytes it starts."""
+def _contents(raw: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, bytes inside) of compressed data, wherever in the bytes it starts."""
     for m in _MAGIC.finditer(raw):
-        inner = _unpacked(raw[m.start() :])
-        while inner and (deeper := _unpacked(inner)) is not None and deeper != inner:
+        inner, used = _unpacked(raw[m.start() :])
+        while inner and (deeper := _unpacked(inner)[0]) and deeper != inner:
             inner = deeper
         if inner:
-            yield m.start(), inner
+            yield m.start(), m.start() + used, inner
 
 
 def _runs(layer: Layer) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
@@ -206,8 +221,36 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             for text, cuts in _readings(raw):
                 # A byte lies in two of the four characters of its group.
                 yield Layer(text, s[cuts[:-1] * 4 // 3], e[np.minimum((cuts[1:] * 4 + 2) // 3, len(e)) - 1])
-            for first, inner in _contents(raw):
-                start, end = int(s[first * 4 // 3]), int(e.max())
+            for first, last, inner in _contents(raw):
+                start, end = int(s[first * 4 // 3]), int(e[min((last * 4 + 2) // 3, len(e)) - 1])
+                for text, _ in _readings(inner):
+                    yield Layer(text, np.full(len(text), start), np.full(len(text), end))
+
+
+def _escaped_bytes(layer: Layer, pattern: re.Pattern) -> Iterator[Layer]:
+    """What is inside compressed data that is written as percent or \\x escapes."""
+    for m in pattern.finditer(layer.text):
+        if ("%" if pattern is _PERCENT_BYTES else "\\x") not in m[0]:
+            continue
+        raw, at = bytearray(), []
+        for c in _ONE_BYTE.finditer(m[0]):
+            escaped = c[1] if pattern is _PERCENT_BYTES else c[2]
+            short = c[3] if pattern is _X_BYTES else None
+            if escaped:
+                raw.append(int(escaped, 16))
+            elif short:
+                raw.append(_SHORT.get(short, ord(short)))
+            else:
+                raw += c[0].encode()
+            at += [c.start()] * (len(raw) - len(at))
+        at.append(len(m[0]))
+        variants = [bytes(raw)]
+        if pattern is _PERCENT_BYTES and "+" in m[0]:
+            # In form encoding a plus is a space.
+            variants.append(bytes(32 if m[0][i] == "+" else b for i, b in zip(at, raw)))
+        for data in variants:
+            for first, last, inner in _contents(data):
+                start, end = layer.span(m.start() + at[first], m.start() + at[last])
                 for text, _ in _readings(inner):
                     yield Layer(text, np.full(len(text), start), np.full(len(text), end))
 
@@ -227,8 +270,11 @@ def layers(text: str) -> Iterator[Layer]:
         yield layer
         if "%" in layer.text:
             work.extend(_rewritten(layer, _PERCENT, _percent))
+            work.extend(_escaped_bytes(layer, _PERCENT_BYTES))
         if "\\" in layer.text or "&#" in layer.text:
             work.extend(_rewritten(layer, _ESCAPE, _escape))
+        if "\\x" in layer.text:
+            work.extend(_escaped_bytes(layer, _X_BYTES))
         work.extend(_base64(layer))
 
 
