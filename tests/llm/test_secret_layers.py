@@ -75,3 +75,11 @@ def test_all_members_are_read(pack, pad):
     assert found(f"see {base64.b64encode(raw).decode()} there")
     parts = pack(b"say password=hun") + pad + pack(b"ter2abc now")
     assert found(f"see {base64.b64encode(parts).decode()} there")
+
+
+def test_a_long_run_takes_linear_time():
+    import time
+
+    began = time.time()
+    assert not found("x" * 150_000)
+    assert time.time() - began < 10

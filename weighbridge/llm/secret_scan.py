@@ -51,7 +51,7 @@ _SHORT = dict(zip("abfnrtv0", b"\a\b\f\n\r\t\v\0"))
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # The same over several lines; the breaks may be escaped as in JSON.
 _BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
-_WRAPPED = re.compile(rf"(?:[A-Za-z0-9+/_-]{{16,}}+{_BREAK.pattern})+[A-Za-z0-9+/_-]++={{0,2}}")
+_WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{{16,}}+{_BREAK.pattern})+[A-Za-z0-9+/_-]++={{0,2}}")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|\x28\xb5\x2f\xfd|BZh[1-9]|\xfd7zXZ\x00")
 _URL_SAFE = str.maketrans("-_", "+/")
 # ASCII text of at least that size in UTF-16, of either byte order.
