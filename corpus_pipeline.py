@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weighbridge.llm import exact_dedup, near_copies, packing, quality, secret_scan
+from weighbridge.llm import exact_dedup, packing, quality, secret_scan, simhash
 from weighbridge.llm.common import bounded_batches, staged
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,8 +29,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 0.8 or more of their five-word shingles are shared."""
-    return near_copies.near_kept(docs)
+    """One document of each group whose SimHash fingerprints are linked."""
+    return simhash.near_kept(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
