@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weighbridge.llm.common import staged
+from weighbridge.llm.common import discard, staged
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -38,7 +38,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         floor = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(floor, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         after = staged(small.unionAll(floor.select("hi", F.col("m").alias("lo"))).distinct())
-        now, before, state = after, state, _state(after)
+        before, state = state, _state(after)
+        discard(now)
+        now = after
         if state == before:
             break
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weighbridge.llm import bpe, exact_dedup, packing, quality, secret_scan, sharding, simhash, suffix_dedup
-from weighbridge.llm import toxicity, tree_search
+from weighbridge.llm import bpe, exact_dedup, jaccard_join, packing, quality, resampling, secret_scan, sharding
+from weighbridge.llm import simhash, suffix_dedup, toxicity, tree_search, vector_codes
 from weighbridge.llm.common import text_of
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,11 +79,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(_documents(spark, sf_dir), with_text=False)
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(_documents(spark, sf_dir))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_simhash_dedup, op3_tree_search, op4_sharding, op5_quality, op6_packing, op7_bpe,
-        op8_toxicity, op9_secrets, op10_suffix_dedup,
+        op8_toxicity, op9_secrets, op10_suffix_dedup, op11_jaccard_join, op12_resampling, op13_vector_codes,
     )
 }
 

@@ -143,7 +143,7 @@ def _coded(books: np.ndarray, width: int):
         for batch in _batches(batches):
             fits, rows = integer_rows(batch.column("vector"), width)
             codes, error = np.zeros((len(rows), PARTS), np.uint8), np.zeros(len(rows), np.int64)
-            for p in range(PARTS):
+            for p in range(PARTS if len(rows) else 0):
                 codes[:, p], off = nearest_entries(rows[:, p * size : (p + 1) * size], books[p])
                 error += off
             # Rows that do not fit get null.
