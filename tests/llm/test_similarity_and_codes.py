@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import signal
 import zlib
 from collections import Counter, defaultdict
 
@@ -256,3 +257,20 @@ def test_limb_products_are_exact():
         a, b = (rng.integers(-(1 << bits), 1 << bits, (5, width)) for _ in range(2))
         want = [[sum(int(x) * int(y) for x, y in zip(r, s)) for s in b] for r in a]
         assert vector_codes.exact_products(a, b).tolist() == want
+
+
+def test_limbs_of_both_signs_end():
+    def late(*_):
+        raise TimeoutError
+
+    before = signal.signal(signal.SIGALRM, late)
+    signal.setitimer(signal.ITIMER_REAL, 5)
+    try:
+        for values in ([-1, 1], [-5, 0, 3], [-(1 << 40), (1 << 40) - 1], [-256, 255], [-1, -1], [0]):
+            for bits in (8, 24):
+                parts = vector_codes.limbs(np.array(values, np.int64), bits)
+                assert all(np.abs(p).max() <= 1 << bits for p in parts)
+                assert [sum(int(p[i]) << (bits * k) for k, p in enumerate(parts)) for i in range(len(values))] == values
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)

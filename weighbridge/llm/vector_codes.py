@@ -47,7 +47,8 @@ def limbs(values: np.ndarray, bits: int) -> list[np.ndarray]:
     out = []
     while True:
         rest = values >> bits
-        if not rest.any() or (rest == -1).all():
+        # Numbers of both signs: what is left of each is its sign, and the highest limb holds it.
+        if ((rest == 0) | (rest == -1)).all():
             return [*out, values.astype(np.float64)]
         out.append((values & ((1 << bits) - 1)).astype(np.float64))
         values = rest
