@@ -99,6 +99,42 @@ def test_join_against_all_pairs(spark, monkeypatch, seed, nodes, queries_each):
     assert joined(frame(spark, rows).repartition(5)) == want
 
 
+def test_group_counts_only_what_the_query_holds():
+    member = np.arange(1, 21, dtype=np.uint64) << np.uint64(58)
+    group = jaccard_join.Group({1: (1, member)})
+    # 18 of 20 are shared; two others of the query lie just before one and the same of the member's.
+    assert group.links(2, np.append(member[:18], member[18] - np.array([2, 1], np.uint64))) == []
+    assert group.links(2, np.append(member[:19], member[19] + np.uint64(5))) == [1]
+
+
+def test_hashes_of_words_and_bounds_of_sketches():
+    rng = random.Random(4)
+    words = ["a", "a\0", "a\0\0", "\0", "B", "b", "12345678", "123456781", "1234567812345678", "é" * 40, "x" * 64, "x" * 65, "x" * 200, "日本"]
+    words += ["".join(rng.choice("ab\0") for _ in range(rng.randrange(1, 100))) for _ in range(300)]
+    known = {}
+    for _ in range(20):
+        rng.shuffle(words)
+        raw = rng.choice(["", " ", "\n"]) + rng.choice([" ", "\t\x0b", "\r\n "]).join(words)
+        found = jaccard_join.word_hashes(raw.lower().encode())
+        for w, h in zip(raw.lower().encode().split(), found.tolist(), strict=True):
+            assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known)
+    assert all(len(jaccard_join.word_hashes(raw)) == 0 for raw in (b"", b" ", b"\n\t "))
+    for size in (1, 50, 3000, 60_000):
+        a, b = (np.random.default_rng(size + k).integers(0, 2 * size, size).astype(np.uint64) for k in (0, 1))
+        a, b = np.unique(a), np.unique(b)
+        sketches = [np.frombuffer(jaccard_join.sketch_of(x), np.uint8)[None] for x in (a, b)]
+        assert jaccard_join.most_common(*sketches)[0] >= len(np.intersect1d(a, b))
+
+
+def test_texts_travel_told_or_joined(spark, monkeypatch):
+    rows = clusters(3)
+    want = join_plain(rows)
+    assert joined(frame(spark, rows).repartition(3)) == want
+    monkeypatch.setattr(jaccard_join, "TOLD_TEXTS", 0)
+    assert joined(frame(spark, rows).repartition(3)) == want
+
+
 def test_join_of_the_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     want = join_plain([tuple(r) for r in docs.select("doc_id", "text").collect()])
