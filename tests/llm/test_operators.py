@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weighbridge.llm import bpe, common, components, exact_dedup, packing, quality, secret_scan, sharding, simhash
-from weighbridge.llm import suffix_dedup, toxicity, tree_search
+from weighbridge.llm import queries, suffix_dedup, toxicity, tree_search
 
 SMALL = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -476,6 +476,25 @@ def test_no_repeats_and_no_rows(awkward, nothing):
     assert suffix_dedup.without_repeats(nothing).count() == 0
 
 
+def test_planted_passages_are_gone_from_the_kept_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 300, raising=False)
+    rng = random.Random(10)
+    prose = lambda n, size: " ".join("".join(rng.choices("abcdefgh", k=size)) for _ in range(n))
+    long, short = f" {prose(51, 8)} ", f" {prose(60, 5)} "
+    clean = [prose(90, 7), "é" * 150, "", None]
+    own = [(f"{prose(20, 7)} {i}", f"{i} {prose(20, 7)}") for i in range(8)]
+    texts = [(long if i < 4 else short).join(pair) for i, pair in enumerate(own)] + clean
+    frame(spark, list(enumerate(texts))).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op10_suffix_dedup(spark, str(tmp_path)).collect()}
+    want = ["".join(own[i]) if i < 4 else t or "" for i, t in enumerate(texts)]
+    assert len(long) >= 400 > len(short)
+    assert [got[i]["kept"] for i in range(len(texts))] == want
+    for i, text in enumerate(want):
+        raw = text.encode()
+        assert got[i]["kept_sha256"] == hashlib.sha256(raw).hexdigest()
+        assert got[i]["n_bytes"] - got[i]["n_removed"] == len(raw)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 700), st.integers(400, 600), st.integers(-1, 599)), min_size=2, max_size=8))
 def test_suffix_bucket(cuts):
