@@ -426,8 +426,10 @@ def _(spark, sf):
 
 
 def _table_stream(spark, sf: str, name: str):
+    """A table as a stream, whether it is one file or a folder of files."""
     schema = v.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    # A stream's path is a folder, unless it is a pattern: this one meets the table's own name only.
+    return spark.readStream.schema(schema).parquet(f"{landing.literal_path(sf)}/{name}.parque[t]")
 
 
 _INGESTED = f"""with {_JUDGED} select sk, yr, {', '.join([*KEY_COLUMNS, *MEASURE_COLUMNS])}, 'COMPLETED' as status

@@ -124,3 +124,16 @@ def test_replayed_micro_batch_keeps_its_number(spark, store, tmp_path):
     store.commit(0, "stream a", 0)
     store.commit(1, "stream b", 0)
     assert (store.batch_of("stream a", 0), store.batch_of("stream b", 0), store.batch_of("stream a", 1)) == (0, 1, 2)
+
+
+def test_a_table_that_is_a_folder_of_files_streams(spark, tmp_path):
+    from registry.files import QUERIES
+
+    rows = spark.range(20).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 5).alias("text"))
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    rows.limit(1).coalesce(1).write.parquet(str(tmp_path / "many" / "documents.parquet.old"))
+    one_file = next((tmp_path / "many" / "documents.parquet.old").glob("*.parquet"))
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "documents.parquet").write_bytes(one_file.read_bytes())
+    assert QUERIES["stream_file_dedup"](spark, str(tmp_path / "many")).count() == 5
+    assert QUERIES["stream_file_dedup"](spark, str(tmp_path / "one")).count() == 1
