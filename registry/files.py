@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry import sqltext as q
@@ -38,8 +42,58 @@ def _once(spark, sf: str, name: str, make):
     return _made[key]
 
 
+# ---- folders of very many small files ----------------------------------------------------------
+
+
+def is_local(spark, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+
+
+def write_files(lines: DataFrame, folder: str, head: str = "") -> None:
+    """A file of a local, shared folder per value of ``file``: ``head`` and its lines in the order given.
+
+    Rows of a file lie together. Hadoop's local file system starts a process for each folder and
+    each file that it makes, some 10 ms each; the tasks open the files themselves. A file gets its
+    name when it is complete, so a task that is repeated replaces what it left.
+    """
+    root = lines.sparkSession._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath()
+
+    def run(batches):
+        now, out = None, None
+
+        def close():
+            if out is not None:
+                out.close()
+                os.replace(out.name, f"{root}/{now}")
+
+        for batch in batches:
+            text = batch.column("line")
+            ends = np.frombuffer(text.buffers()[1], "int32")[text.offset : text.offset + len(text) + 1]
+            data, runs = memoryview(text.buffers()[2] or b""), pc.run_end_encode(batch.column("file"))
+            at = 0
+            for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                if name != now:
+                    close()
+                    now, folder_of = name, os.path.dirname(f"{root}/{name}")
+                    os.makedirs(folder_of, exist_ok=True)
+                    out = open(f"{folder_of}/.{os.path.basename(name)}.{uuid.uuid4().hex}", "wb")  # noqa: SIM115
+                    out.write(head.encode())
+                out.write(data[ends[at] : ends[end]])
+                at = end
+        close()
+        yield from ()
+
+    ended = lines.select("file", F.concat(F.coalesce("line", F.lit("")), F.lit("\n")).alias("line"))
+    ended.mapInArrow(run, "file string").write.format("noop").mode("overwrite").save()
+
+
 # ---- a landing folder of CSV files: one file per supplier and year of lineitem ----------------
 
+_AS_WRITTEN = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# What Spark's writer puts in a folder's name for a missing value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def landing_folder(spark, sf: str) -> str:
     def make():
@@ -48,13 +102,16 @@ def landing_folder(spark, sf: str) -> str:
             "sk", F.year("arrived").alias("yr"), *[F.col(c).alias(h) for h, c in REQUIRED_HEADERS.items()],
             "arrived", "pk", "ln", "file_id",
         )
-        (
-            named.repartition("sk", "yr").sortWithinPartitions("sk", "yr", "arrived", "pk", "ln", "file_id")
-            .drop("arrived", "pk", "ln", "file_id")
-            .write.partitionBy("sk", "yr").option("header", True)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(folder)
+        ordered = named.repartition("sk", "yr").sortWithinPartitions("sk", "yr", "arrived", "pk", "ln", "file_id").drop(
+            "arrived", "pk", "ln", "file_id"
         )
+        if is_local(spark, folder):
+            part = lambda k: F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit(_NO_VALUE)))
+            file = F.concat(part("sk"), F.lit("/"), part("yr"), F.lit(".csv"))
+            line = F.to_csv(F.struct(*REQUIRED_HEADERS), _AS_WRITTEN)
+            write_files(ordered.select(file.alias("file"), line.alias("line")), folder, ",".join(REQUIRED_HEADERS) + "\n")
+        else:
+            ordered.write.partitionBy("sk", "yr").option("header", True).options(**_AS_WRITTEN).csv(folder)
         return folder
 
     return _once(spark, sf, "landing", make)
@@ -467,7 +524,13 @@ def mail_folder(spark, sf: str) -> str:
         stored = messages(spark, sf).select(
             F.regexp_extract("path", r"(\d+)$", 1).alias("doc"), F.col("content").cast("string").alias("value")
         )
-        stored.repartition("doc").sortWithinPartitions("doc").write.partitionBy("doc").option("lineSep", "\n").text(folder)
+        ordered = stored.repartition("doc").sortWithinPartitions("doc")
+        if is_local(spark, folder):
+            doc = F.coalesce("doc", F.lit(_NO_VALUE))
+            file = F.concat(F.lit("doc="), F.substring(doc, 1, 9), F.lit("/"), F.substring(doc, 10, 100), F.lit(".txt"))
+            write_files(ordered.select(file.alias("file"), F.col("value").alias("line")), folder)
+        else:
+            ordered.write.partitionBy("doc").option("lineSep", "\n").text(folder)
         return folder
 
     return _once(spark, sf, "mail-folder", make)

@@ -216,3 +216,30 @@ def test_wide_rows_harm_no_file(spark, store, tmp_path, wide):
     write(tmp_path / "in", "wide.csv", csv_bytes(wide, row(3)))
     ingest_landing(store, str(tmp_path / "in"))
     assert sorted(r.transact_no for r in store.current_transactions().collect()) == [1, 2, 3]
+
+
+def test_a_scan_of_many_small_files_takes_few_tasks(spark, tmp_path):
+    for i in range(200):
+        write(tmp_path / "in", f"f{i}.csv", csv_bytes(row(i)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        assert landing.landing_files(spark, str(tmp_path / "in")).rdd.getNumPartitions() <= 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_files_that_tasks_write_hold_the_lines_in_order(spark, tmp_path):
+    from registry.files import write_files
+
+    lines = spark.range(3000).select(
+        F.concat(F.lit("k="), F.col("id") % 7, F.lit("/"), F.col("id") % 2, F.lit(".txt")).alias("file"),
+        "id", F.when(F.col("id") != 8, F.concat(F.lit("größe "), "id")).alias("line"),
+    )
+    write_files(lines.repartition(4, "file").sortWithinPartitions("file", "id").select("file", "line"), str(tmp_path / "out"), "head\n")
+    found = {str(p.relative_to(tmp_path / "out")): p.read_text() for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    want = {}
+    for i in range(3000):
+        name = f"k={i % 7}/{i % 2}.txt"
+        want[name] = want.get(name, "head\n") + (f"größe {i}\n" if i != 8 else "\n")
+    assert found == want
