@@ -95,3 +95,23 @@ def test_verdict_of_many_copies(spark):
 def test_error_summary_keeps_the_first_messages(spark):
     errors = spark.range(100).select(F.lit("f").alias("file"), (100 - F.col("id")).alias("n"), F.format_string("e%d", 100 - F.col("id")).alias("message"))
     assert [tuple(r) for r in error_summary(errors, "file", ["n"]).collect()] == [("f", 100, ["e1", "e2", "e3"])]
+
+
+def test_claims_without_contest_stay_out_of_the_waves(spark, monkeypatch):
+    """4 of 500 files share a key; the waves see the claims of these alone, and a missing key claims nothing."""
+    met = []
+    joined = upsert.join_heaviest_first
+
+    def counted(rows, *more):
+        met.append(rows.count())
+        return joined(rows, *more)
+
+    monkeypatch.setattr(upsert, "join_heaviest_first", counted)
+    own = [(f, f"k{f}-{i}") for f in range(500) for i in range(3)]
+    shared = [(1, "s"), (2, "s"), (3, "t"), (4, "t"), (5, None), (900, None)]
+    rows = spark.createDataFrame([*own, *shared], "file int, k string")
+    kept = {r.file for r in upsert.accept_whole_files(rows, "file", ["file"], ["k"]).collect()}
+    assert kept == set(range(500)) - {2, 4}
+    assert met == [4]
+    monkeypatch.setattr(upsert, "MOST_TOLD", 0)
+    assert {r.file for r in upsert.accept_whole_files(rows, "file", ["file"], ["k"]).collect()} == kept

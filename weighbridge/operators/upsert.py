@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weighbridge.functions.values import before, correlation_id, derived_id
-from weighbridge.operators.skew import cut_lineage, join_heaviest_first
+from weighbridge.operators.skew import cut_lineage, cut_to_files, join_heaviest_first
 from weighbridge.schemas import ARRIVAL_COLUMNS, KEY_COLUMNS, MEASURE_COLUMNS
 
+# Keys that are broadcast rather than joined by a shuffle; a fixed number, whatever the data.
+MOST_TOLD = 100_000
+
 
 def file_id(file_sha256: Column) -> Column:
     """Id of a file row; known before the insert, so nothing is looked up."""
@@ -80,21 +83,28 @@ def accept_whole_files(
 ) -> DataFrame:
     """Files that a plain insert keeps: none of a file's rows may meet a stored key.
 
-    Files are decided in arrival order, and only accepted files store keys. Each wave
-    decides every file that is the first remaining claimant of all its keys, then
-    refuses the later claimants of those keys. The first remaining file is always
-    decided, so the waves end, with the answer of the one-by-one insert.
+    Files are decided in arrival order, and only accepted files store keys. A key that one
+    file alone claims blocks nobody, so only contested keys enter the waves, and a file without
+    any is accepted at once. Each wave decides every file that is the first remaining claimant
+    of all its keys, then refuses the later claimants of those keys. The first remaining file
+    is always decided, so the waves end, with the answer of the one-by-one insert. Claims with a
+    missing key or file are no claims; a file that has no other is not kept.
     """
-    claims = rows.groupBy(file_key, *order, *keys).agg(F.count("*").alias("_times"))
+    own = list(dict.fromkeys([file_key, *order, *keys]))
+    claims = cut_to_files(rows.groupBy(*own).agg(F.count("*").alias("_times")))
     refused = claims.filter(F.col("_times") > 1).select(file_key)
     if stored is not None:
         refused = refused.union(claims.join(stored.select(*keys), keys, "left_semi").select(file_key))
-    open_claims = cut_lineage(
-        claims.join(refused.distinct(), file_key, "left_anti").select(file_key, *order, *keys)
-    )
+    live = claims.dropna(subset=[file_key, *keys]).drop("_times")
+    live = live.join(_told_to_all(refused.distinct()), file_key, "left_anti")
+    # Two keys of one hash only send more claims to the waves, which compare the keys themselves.
+    hashed = F.xxhash64(*keys).alias("_hash")
+    contested = live.groupBy(hashed).agg(F.count("*").alias("_claimants")).filter(F.col("_claimants") > 1)
+    picked = live.withColumn("_hash", hashed).join(_told_to_all(contested.select("_hash")), "_hash", "left_semi")
+    open_claims = cut_to_files(picked.drop("_hash"))
+    accepted = [live.select(file_key).distinct().join(open_claims.select(file_key).distinct(), file_key, "left_anti")]
     arrival = list(dict.fromkeys([*order, file_key]))
-    accepted = []
-    while True:
+    while not open_claims.isEmpty():
         first = open_claims.groupBy(*keys).agg(
             F.min(F.struct(*arrival)).alias("first"), F.count("*").alias("claimants")
         )
@@ -113,8 +123,13 @@ def accept_whole_files(
         )
         waiting = state.filter("_blocked").select(file_key).join(losers.distinct(), file_key, "left_anti")
         open_claims = cut_lineage(claimed.drop("_holder").join(waiting, file_key, "left_semi"))
-        if open_claims.isEmpty():
-            return reduce(DataFrame.union, accepted)
+    return reduce(DataFrame.union, accepted)
+
+
+def _told_to_all(few: DataFrame) -> DataFrame:
+    """One column of keys, written once; broadcast if they are few, so that what meets them is not shuffled."""
+    written = cut_to_files(few)
+    return F.broadcast(written) if written.count() <= MOST_TOLD else written
 
 
 def insert_only_unique(
